@@ -14,8 +14,9 @@ CUT_TYPE = "map<bigint,bigint>"
 
 
 def cut_from_json(text) -> Column:
+    """Parse cut text; JSON object keys are strings, so parse those and cast."""
     c = F.col(text) if isinstance(text, str) else text
-    return F.from_json(c, CUT_TYPE)
+    return F.transform_keys(F.from_json(c, "map<string,bigint>"), lambda k, v: k.cast("bigint"))
 
 
 def cut_to_json(cut) -> Column:
