@@ -77,12 +77,30 @@ def ensure_stream(spark: SparkSession, root: str, scope: str, stream: str, opts:
 # -------------------------------------------------------------------- read
 
 
-def files_frame(spark: SparkSession, root: str, scope: str, stream: str, snap: Snapshot) -> DataFrame:
-    """All committed rows of the snapshot with the storage columns."""
+def files_frame(spark: SparkSession, root: str, scope: str, stream: str, snap: Snapshot,
+                ranges: dict[int, tuple[int, int | None]] | None = None) -> DataFrame:
+    """Committed rows of the snapshot with the storage columns.
+
+    With ``ranges``, only files whose recorded offset extent overlaps a range
+    (and is not wholly truncated) are listed: data skipping from the log, done
+    at planning time, before Parquet row-group pushdown."""
     base = data_dir(root, scope, stream)
     if not snap.txns:
         return spark.createDataFrame([], FILE_SCHEMA)
-    paths = [f"{base}/txn={t}" for t in snap.txns]
+    if ranges is None:
+        paths = [f"{base}/txn={t}" for t in snap.txns]
+    else:
+        paths = []
+        for f in snap.files:
+            s = int(f["segment_id"])
+            if s not in ranges:
+                continue
+            lo, hi = ranges[s]
+            lo = max(lo, int(snap.head.get(s, 0)))
+            if int(f["hi"]) > lo and (hi is None or int(f["lo"]) < hi):
+                paths.append(f["path"])
+        if not paths:
+            return spark.createDataFrame([], FILE_SCHEMA)
     return spark.read.schema(FILE_SCHEMA).option("basePath", base).parquet(*paths)
 
 
@@ -113,10 +131,11 @@ def read_events(spark: SparkSession, root: str, scope: str, stream: str, start:
         if not log.stream_exists() and allow_create:
             ensure_stream(spark, root, scope, stream, opts)
         snap = log.snapshot()
-    df = files_frame(spark, root, scope, stream, snap)
+    ranges = segment_ranges(snap.all_segments, start, end) if (start is not None or end is not None) else None
+    df = files_frame(spark, root, scope, stream, snap, ranges)
     df = truncate_at(df, {s: h for s, h in snap.head.items() if h > 0})  # skip truncated data
-    if start is not None or end is not None:
-        df = filter_ranges(df, segment_ranges(snap.all_segments, start, end))
+    if ranges is not None:
+        df = filter_ranges(df, ranges)
     return df.withColumn("scope", F.lit(scope)).withColumn("stream", F.lit(stream))
 
 
@@ -265,6 +284,22 @@ def _file_extents(spark: SparkSession, target: str) -> list[dict]:
              "rows": int(r["rows"])} for r in rows]
 
 
+def next_cut(spark: SparkSession, root: str, scope: str, stream: str, start: dict[int, int], budget: int,
+             end: dict[int, int] | None = None) -> dict[int, int]:
+    """Next cut under a byte budget, reading only the files that overlap each
+    segment's budget window (one row per segment comes back)."""
+    from segstream.operators.cuts import budget_per_segment, next_cut_frame
+
+    log = CommitLog(spark, root, scope, stream)
+    snap = log.snapshot()
+    b = budget_per_segment(budget, len(start))
+    window = {s: c + b for s, c in start.items()}
+    if end:
+        window = {s: min(w, end.get(s, w)) for s, w in window.items()}
+    ev = read_events(spark, root, scope, stream, start=start, end=window, snap=snap)
+    return {int(r["segment_id"]): int(r["position"]) for r in next_cut_frame(ev, start, budget, end).collect()}
+
+
 # --------------------------------------------------------------- metadata
 
 
