@@ -361,6 +361,39 @@ def apply_retention(spark: SparkSession, root: str, scope: str, stream: str) ->
     return cut
 
 
+COMPACT_TARGET_BYTES = 128 << 20
+
+
+def compact(spark: SparkSession, root: str, scope: str, stream: str, target_bytes: int = COMPACT_TARGET_BYTES) -> int | None:
+    """Rewrite the visible events into few large files, range-partitioned on
+    ``(segment_id, offset)`` so each file holds a contiguous offset range of one
+    segment (narrow extents for data skipping).  Offsets do not change.  The
+    old transaction folders stay on disk for readers of older snapshots until
+    ``vacuum`` removes them after the transaction timeout.
+    """
+    import math
+
+    log = CommitLog(spark, root, scope, stream)
+    snap = log.snapshot()
+    if not snap.txns:
+        return None
+    live = sum(max(0, t - snap.head.get(s, 0)) for s, t in snap.tail.items())
+    parts = max(1, math.ceil(live / max(1, int(target_bytes))))
+    df = truncate_at(files_frame(spark, root, scope, stream, snap), {s: h for s, h in snap.head.items() if h > 0})
+    txn = uuid.uuid4().hex
+    target = f"{data_dir(root, scope, stream)}/txn={txn}"
+    (
+        df.select("event", "routing_key", "seq", "append_ts", "len", "offset", "segment_id")
+        .repartitionByRange(parts, "segment_id", "offset")
+        .sortWithinPartitions("segment_id", "offset")
+        .write.mode("errorifexists")
+        .partitionBy("segment_id")
+        .parquet(target)
+    )
+    files = _file_extents(spark, target)
+    return log.commit(snap, {"kind": "compact", "txn": txn, "files": files, "replaces": len(snap.txns)})
+
+
 def vacuum(spark: SparkSession, root: str, scope: str, stream: str, older_than_ms: int | None = None) -> list[str]:
     """Delete transaction folders no log entry names (aborted or timed-out
     writes) once they are older than the transaction timeout."""
