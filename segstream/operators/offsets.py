@@ -42,7 +42,7 @@ def _default_blocks(df: DataFrame) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
-def block_by_order(df: DataFrame, order_col: str, blocks: int, relative_error: float = 0.001) -> DataFrame:
+def block_by_order(df: DataFrame, order_col: str, blocks: int, relative_error: float = 0.01) -> DataFrame:
     """Add ``_blk``: quantile block of ``order_col`` (contiguous order ranges)."""
     from pyspark.ml.feature import Bucketizer
 
