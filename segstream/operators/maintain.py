@@ -34,6 +34,13 @@ def head_cut_frame(survivors: DataFrame, all_events: DataFrame) -> DataFrame:
     )
 
 
+def _ntz(value):
+    """A wall-clock literal that no session time zone shifts."""
+    if hasattr(value, "isoformat"):
+        return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+    return F.lit(value)
+
+
 def retain_by_time(df: DataFrame, duration_ms: int, now=None) -> DataFrame:
     """Events appended within ``duration_ms`` before ``now`` (default: the
     newest append time in the stream)."""
@@ -41,7 +48,7 @@ def retain_by_time(df: DataFrame, duration_ms: int, now=None) -> DataFrame:
         now = df.agg(F.max("append_ts")).first()[0]  # one value back to the driver
     if now is None:
         return df
-    limit = F.lit(now) - F.expr(f"INTERVAL {int(duration_ms)} MILLISECONDS")
+    limit = _ntz(now) - F.expr(f"INTERVAL {int(duration_ms)} MILLISECONDS")
     return df.where(F.col("append_ts") >= limit)
 
 

@@ -270,7 +270,7 @@ def q_expired_txns(spark, sf_dir):
     date) are expired: vacuum drops their staged events."""
     od = table(spark, sf_dir, "orders")
     newest = od.agg(F.max("o_orderdate")).first()[0]
-    limit = F.lit(newest) - F.expr("INTERVAL 120 DAYS")
+    limit = F.lit(newest.isoformat(sep=" ")).cast("timestamp_ntz") - F.expr("INTERVAL 120 DAYS")
     expired = od.where((F.col("o_orderstatus") == "O") & (F.col("o_orderdate") < limit)).select("o_orderkey")
     li = table(spark, sf_dir, "lineitem").select("l_orderkey")
     staged = li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("staged_events"))

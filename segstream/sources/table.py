@@ -234,7 +234,7 @@ def append(df: DataFrame, root: str, scope: str, stream: str, order_by: str | li
     x = (
         x.withColumn("len", event_length("event"))
         .withColumn("segment_id", segment_for_key("routing_key", n, epoch=epoch, event="event"))
-        .withColumn("append_ts", F.lit(stamp).cast("timestamp_ntz"))
+        .withColumn("append_ts", F.lit(stamp.isoformat(sep=" ")).cast("timestamp_ntz"))
     )
     base = {s: snap.tail.get(s, 0) for s in snap.current_segments}
     if order_by:
