@@ -54,3 +54,16 @@ def test_ranges_across_epochs():
     # end in the old epoch skips the new one
     r = segment_ranges(segs, None, {0: 5, 1: 5})
     assert r == {0: (0, 5), 1: (0, 5)}
+
+
+def test_many_segments_use_a_range_table(spark):
+    from segstream.operators.cuts import LITERAL_SEGMENTS_MAX, filter_ranges
+
+    n = LITERAL_SEGMENTS_MAX + 44
+    rows = [(s, o * 10, 10) for s in range(n) for o in range(4)]
+    df = spark.createDataFrame(rows, "segment_id bigint, offset bigint, len bigint")
+    ranges = segment_ranges(range(n), {s: 10 for s in range(n)}, {s: 30 for s in range(n)})
+    out = filter_ranges(df, ranges)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" in plan
+    assert sorted(r.offset for r in out.collect()) == sorted([10, 20] * n)
