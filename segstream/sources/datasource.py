@@ -83,7 +83,10 @@ def _read_file(part: FilePart, scope: str, stream: str) -> Iterator:
 
     fs = ArrowFS(part.path).arrow_fs
     pf = pq.ParquetFile(_strip_scheme(part.path), filesystem=fs)
-    for batch in pf.iter_batches(columns=["event", "offset"], batch_size=8192):
+    groups = _row_groups_in_range(pf, part.lo, part.hi)
+    if not groups:
+        return
+    for batch in pf.iter_batches(columns=["event", "offset"], batch_size=8192, row_groups=groups):
         off = batch.column(1)
         mask = pc.greater_equal(off, pa.scalar(part.lo, pa.int64()))
         if part.hi is not None:
@@ -99,6 +102,23 @@ def _read_file(part: FilePart, scope: str, stream: str) -> Iterator:
         )
 
 
+def _row_groups_in_range(pf, lo: int, hi: int | None) -> list[int]:
+    """Row groups whose offset statistics overlap ``[lo, hi)`` (all when a
+    group has no statistics)."""
+    md = pf.metadata
+    col = md.schema.names.index("offset")
+    keep = []
+    for i in range(md.num_row_groups):
+        st = md.row_group(i).column(col).statistics
+        if st is None or not st.has_min_max:
+            keep.append(i)
+            continue
+        if st.max < lo or (hi is not None and st.min >= hi):
+            continue
+        keep.append(i)
+    return keep
+
+
 class SegstreamDataSource(DataSource):
     @classmethod
     def name(cls) -> str:

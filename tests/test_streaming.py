@@ -178,3 +178,36 @@ def test_rate_source_to_table(spark, root, scratch):
     time.sleep(4)
     q.stop()
     assert TB.read_stream(spark, root, "s", "t").count() > 0
+
+
+def test_stream_end_earliest_is_an_error(spark, root, scratch):
+    _append(spark, root, [1])
+    df = _reader(spark, root, end_stream_cut="earliest")
+    with pytest.raises(Exception):
+        q = df.writeStream.format("memory").queryName("bad").option("checkpointLocation", f"{scratch}/c").start()
+        q.processAllAvailable()
+
+
+def test_sink_complete_mode_appends_whole_result(spark, root, scratch):
+    src_dir = f"{scratch}/in"
+    os.makedirs(src_dir)
+    spark.createDataFrame([(v,) for v in [1, 2, 2]], "value int").write.parquet(f"{src_dir}/a")
+    stream = spark.readStream.schema("value int").parquet(f"{src_dir}/*")
+    counts = stream.groupBy("value").count().select(F.concat_ws(":", "value", "count").alias("event"))
+    q = stream_to_table(counts, root, "s", "t", checkpoint=f"{scratch}/ck", output_mode="complete",
+                        opts={"default_num_segments": "1"})
+    q.processAllAvailable()
+    spark.createDataFrame([(3,)], "value int").write.parquet(f"{src_dir}/b")
+    q.processAllAvailable()
+    q.stop()
+    got = sorted(r.e for r in TB.read_stream(spark, root, "s", "t").select(F.col("event").cast("string").alias("e")).collect())
+    assert got == sorted(["1:1", "2:2", "1:1", "2:2", "3:1"])
+
+
+def test_sql_view(spark, root):
+    import segstream
+
+    _append(spark, root, [5, 6, 7])
+    segstream.register_view(spark, "ev_view", root, "s", "t")
+    rows = spark.sql("SELECT sum(CAST(CAST(event AS STRING) AS INT)) AS s FROM ev_view").collect()
+    assert rows[0].s == 18
