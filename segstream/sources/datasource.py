@@ -51,6 +51,7 @@ class FilePart(InputPartition):
     segment_id: int
     lo: int
     hi: int | None
+    base: int = 0  # added to the stored offsets (files written by the Python writer)
 
 
 @dataclass
@@ -70,7 +71,7 @@ def _file_parts(snap, ranges: dict[int, tuple[int, int | None]]) -> list[FilePar
         lo = max(lo, int(snap.head.get(s, 0)))
         if f["hi"] <= lo or (hi is not None and f["lo"] >= hi):
             continue
-        parts.append(FilePart(f["path"], s, lo, hi))
+        parts.append(FilePart(f["path"], s, lo, hi, int(f.get("base", 0))))
     return parts
 
 
@@ -83,11 +84,16 @@ def _read_file(part: FilePart, scope: str, stream: str) -> Iterator:
 
     fs = ArrowFS(part.path).arrow_fs
     pf = pq.ParquetFile(_strip_scheme(part.path), filesystem=fs)
-    groups = _row_groups_in_range(pf, part.lo, part.hi)
+    lo = part.lo - part.base
+    hi = None if part.hi is None else part.hi - part.base
+    groups = _row_groups_in_range(pf, lo, hi)
     if not groups:
         return
     for batch in pf.iter_batches(columns=["event", "offset"], batch_size=8192, row_groups=groups):
         off = batch.column(1)
+        if part.base:
+            off = pc.add(off, pa.scalar(part.base, pa.int64()))
+            batch = pa.RecordBatch.from_arrays([batch.column(0), off], names=["event", "offset"])
         mask = pc.greater_equal(off, pa.scalar(part.lo, pa.int64()))
         if part.hi is not None:
             mask = pc.and_(mask, pc.less(off, pa.scalar(part.hi, pa.int64())))
@@ -152,10 +158,16 @@ class SegstreamDataSource(DataSource):
     def writer(self, schema, overwrite):
         if overwrite:
             raise O.OptionError("segstream tables are append-only: save mode Overwrite is not supported")
-        raise O.OptionError(
-            "write with segstream.append(df, root, scope, stream) or segstream.stream_to_table(...): "
-            "appends assign offsets with a Spark job, which a per-task writer cannot run"
-        )
+        from segstream.sources.pywrite import BatchWriter
+
+        return BatchWriter(self.o, schema)
+
+    def streamWriter(self, schema, overwrite):
+        if overwrite:
+            raise O.OptionError("segstream tables are append-only: complete mode would need a truncate")
+        from segstream.sources.pywrite import StreamWriter
+
+        return StreamWriter(self.o, schema)
 
 
 class BatchReader(DataSourceReader):
@@ -338,10 +350,11 @@ def _next_cut_files(snap, frm: dict[int, int], budget: int) -> dict[int, int]:
             if f["hi"] <= lo or f["lo"] >= hi:
                 continue
             fs = ArrowFS(f["path"]).arrow_fs
+            base = int(f.get("base", 0))
             t = pq.read_table(_strip_scheme(f["path"]), columns=["offset", "len"], filesystem=fs,
-                              filters=[("offset", ">=", lo), ("offset", "<", hi)])
+                              filters=[("offset", ">=", lo - base), ("offset", "<", hi - base)])
             if t.num_rows:
-                m = pc.max(pc.add(t.column("offset"), t.column("len"))).as_py()
+                m = pc.max(pc.add(t.column("offset"), t.column("len"))).as_py() + base
                 best = m if best is None else max(best, m)
         if best is not None:
             out[s] = int(best)

@@ -87,21 +87,46 @@ def files_frame(spark: SparkSession, root: str, scope: str, stream: str, snap: S
     base = data_dir(root, scope, stream)
     if not snap.txns:
         return spark.createDataFrame([], FILE_SCHEMA)
+
+    def wanted(f) -> bool:
+        if ranges is None:
+            return True
+        s = int(f["segment_id"])
+        if s not in ranges:
+            return False
+        lo, hi = ranges[s]
+        lo = max(lo, int(snap.head.get(s, 0)))
+        return int(f["hi"]) > lo and (hi is None or int(f["lo"]) < hi)
+
+    rel_files = [f for f in snap.files if "base" in f and wanted(f)]
     if ranges is None:
-        paths = [f"{base}/txn={t}" for t in snap.txns]
+        paths = [f"{base}/txn={t}" for t in snap.txns if t not in snap.rel_txns]
     else:
-        paths = []
-        for f in snap.files:
-            s = int(f["segment_id"])
-            if s not in ranges:
-                continue
-            lo, hi = ranges[s]
-            lo = max(lo, int(snap.head.get(s, 0)))
-            if int(f["hi"]) > lo and (hi is None or int(f["lo"]) < hi):
-                paths.append(f["path"])
-        if not paths:
-            return spark.createDataFrame([], FILE_SCHEMA)
-    return spark.read.schema(FILE_SCHEMA).option("basePath", base).parquet(*paths)
+        paths = [f["path"] for f in snap.files if "base" not in f and wanted(f)]
+    parts = []
+    if paths:
+        parts.append(spark.read.schema(FILE_SCHEMA).option("basePath", base).parquet(*paths))
+    if rel_files:
+        parts.append(_relative_files(spark, base, rel_files))
+    if not parts:
+        return spark.createDataFrame([], FILE_SCHEMA)
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def _relative_files(spark: SparkSession, base: str, files: list[dict]) -> DataFrame:
+    """Files whose offsets are relative: add each file's base from the log.
+    The (file name, base) table has one row per file of the log: its size is
+    known here, so it is broadcast."""
+    import posixpath
+
+    bases = spark.createDataFrame([(posixpath.basename(f["path"]), int(f["base"])) for f in files],
+                                  "_fname string, _fbase bigint")
+    df = spark.read.schema(FILE_SCHEMA).option("basePath", base).parquet(*[f["path"] for f in files])
+    df = df.withColumn("_fname", F.col("_metadata.file_name")).join(F.broadcast(bases), "_fname")
+    return df.withColumn("offset", (F.col("offset") + F.col("_fbase")).cast("bigint")).select(*FILE_SCHEMA.names)
 
 
 def resolve_batch_bounds(start: O.Position, end: O.Position, snap: Snapshot) -> tuple[dict | None, dict | None]:

@@ -211,3 +211,24 @@ def test_sql_view(spark, root):
     segstream.register_view(spark, "ev_view", root, "s", "t")
     rows = spark.sql("SELECT sum(CAST(CAST(event AS STRING) AS INT)) AS s FROM ev_view").collect()
     assert rows[0].s == 18
+
+
+def test_write_stream_format(spark, root, scratch):
+    register(spark)
+    src_dir = f"{scratch}/in"
+    os.makedirs(src_dir)
+    spark.createDataFrame([(str(v),) for v in range(1, 6)], "event string").write.parquet(f"{src_dir}/a")
+    stream = spark.readStream.schema("event string").parquet(f"{src_dir}/*")
+    q = (stream.writeStream.format("segstream").option("path", root).option("scope", "s").option("stream", "t")
+         .option("query_id", "w1").option("default_num_segments", "2")
+         .option("checkpointLocation", f"{scratch}/ck").start())
+    q.processAllAvailable()
+    assert _seen_table(spark, root) == [str(v) for v in range(1, 6)]
+    spark.createDataFrame([(str(v),) for v in range(6, 11)], "event string").write.parquet(f"{src_dir}/b")
+    q.processAllAvailable()
+    q.stop()
+    assert _seen_table(spark, root) == sorted(str(v) for v in range(1, 11))
+
+
+def _seen_table(spark, root):
+    return sorted(r.e for r in TB.read_stream(spark, root, "s", "t").select(F.col("event").cast("string").alias("e")).collect())
