@@ -69,6 +69,9 @@ ORACLE: dict[str, str] = {
     "scan_to_cut": EVM + "\n" + PAYLOAD_ROWS + " WHERE seq < (SELECT t2 FROM marks)",
     "union_self": EV + "\n" + PAYLOAD_ROWS + "\nUNION ALL\n" + PAYLOAD_ROWS,
     "next_cut_b1": _next_cut(1),
+    "next_cut_b10": _next_cut(10),
+    "next_cut_b20": _next_cut(20),
+    "next_cut_b33": _next_cut(33),
     "next_cut_b100": _next_cut(100),
     "next_cut_b1000": _next_cut(1000),
     "next_cut_b100000": _next_cut(100000),

@@ -25,7 +25,7 @@ from segstream.sources import table as TB
 
 N_SEGMENTS = 3
 # --- fixed parameters of the queries
-BUDGETS = (1, 100, 1000, 100000)
+BUDGETS = (1, 10, 20, 33, 100, 1000, 100000)
 RETENTION_MS = 7 * 24 * 3600 * 1000
 RETENTION_BYTES = 100000
 UPDATE_BATCHES = 10

@@ -54,14 +54,40 @@ class FilePart(InputPartition):
     base: int = 0  # added to the stored offsets (files written by the Python writer)
 
 
+@dataclass
+class FileGroup(InputPartition):
+    """Several file slices read by one task (small files are packed together)."""
+
+    parts: list
+
+
+PACK_BYTES = 128 << 20  # target bytes per input partition, like spark.sql.files.maxPartitionBytes
+
+
+def _pack(parts: list[FilePart], target: int = PACK_BYTES) -> list[FileGroup]:
+    """First-fit packing of file slices by their byte extent, in segment and
+    offset order, so a partition never grows past ``target`` unless one slice does."""
+    groups, cur, size = [], [], 0
+    for p in sorted(parts, key=lambda x: (x.segment_id, x.lo)):
+        est = p.hi - p.lo if p.hi is not None else PACK_BYTES
+        if cur and size + est > target:
+            groups.append(FileGroup(cur))
+            cur, size = [], 0
+        cur.append(p)
+        size += est
+    if cur:
+        groups.append(FileGroup(cur))
+    return groups
+
+
 @dataclass
 class RowsPart(InputPartition):
     rows: list
 
 
-def _file_parts(snap, ranges: dict[int, tuple[int, int | None]]) -> list[FilePart]:
-    """Files overlapping the ranges, each with its clipped range; truncated
-    prefixes (before the head) are skipped."""
+def _file_parts(snap, ranges: dict[int, tuple[int, int | None]]) -> list[FileGroup]:
+    """Files overlapping the ranges, each clipped to its range (truncated
+    prefixes skipped), packed into input partitions."""
     parts = []
     for f in snap.files:
         s = int(f["segment_id"])
@@ -71,8 +97,9 @@ def _file_parts(snap, ranges: dict[int, tuple[int, int | None]]) -> list[FilePar
         lo = max(lo, int(snap.head.get(s, 0)))
         if f["hi"] <= lo or (hi is not None and f["lo"] >= hi):
             continue
-        parts.append(FilePart(f["path"], s, lo, hi, int(f.get("base", 0))))
-    return parts
+        clip_lo, clip_hi = max(lo, int(f["lo"])), int(f["hi"]) if hi is None else min(hi, int(f["hi"]))
+        parts.append(FilePart(f["path"], s, clip_lo, clip_hi, int(f.get("base", 0))))
+    return _pack(parts)
 
 
 def _read_file(part: FilePart, scope: str, stream: str) -> Iterator:
@@ -190,7 +217,8 @@ class BatchReader(DataSourceReader):
         return _file_parts(self.snap, self.ranges)
 
     def read(self, partition):
-        yield from _read_file(partition, self.o[O.SCOPE], self.o[O.STREAM])
+        for part in partition.parts:
+            yield from _read_file(part, self.o[O.SCOPE], self.o[O.STREAM])
 
 
 class MetaReader(DataSourceReader):
@@ -280,7 +308,8 @@ class StreamReader(DataSourceStreamReader):
         return _file_parts(snap, ranges)
 
     def read(self, partition):
-        yield from _read_file(partition, self.o[O.SCOPE], self.o[O.STREAM])
+        for part in partition.parts:
+            yield from _read_file(part, self.o[O.SCOPE], self.o[O.STREAM])
 
     def commit(self, end):
         pass

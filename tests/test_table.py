@@ -241,3 +241,16 @@ def test_datasource_write_schema_errors(spark, root):
     df = spark.createDataFrame([(1,)], "event int")
     with pytest.raises(Exception, match="event attribute type must be a string or binary"):
         df.write.format("segstream").option("path", root).option("scope", "s").option("stream", "t").mode("append").save()
+
+
+def test_source_partitions_pack_small_files(spark, root):
+    from segstream.sources.datasource import PACK_BYTES, _file_parts, _pack, FilePart
+    from segstream.operators.cuts import segment_ranges
+
+    for i in range(4):
+        _append(spark, root, range(i * 10, i * 10 + 10), key=str(i))
+    snap = CommitLog(spark, root, "s", "t").snapshot()
+    groups = _file_parts(snap, segment_ranges(snap.all_segments, None, dict(snap.tail)))
+    assert len(groups) == 1 and len(groups[0].parts) == len(snap.files)
+    big = [FilePart(f"f{i}", 0, i * PACK_BYTES, (i + 1) * PACK_BYTES) for i in range(3)]
+    assert len(_pack(big)) == 3
