@@ -94,6 +94,9 @@ def assign_offsets(
         order_cols = [F.col(_SEQ)]
 
     seg = F.col(segment_col)
+    # Partial sums straight from the input: map-side combined, so this branch
+    # shuffles (segment, block) sums per map task, not rows.  (Deriving them
+    # from the row exchange instead would shuffle every row a second time.)
     partial = keyed.groupBy(segment_col, _BLOCK).agg(F.sum(len_col).alias("_bytes"))
     before = Window.partitionBy(segment_col).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     start = F.coalesce(F.sum("_bytes").over(before), F.lit(0)).cast("bigint")
