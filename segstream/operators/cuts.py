@@ -79,22 +79,37 @@ def segment_ranges(
 
 def range_predicate(ranges: dict[int, tuple[int, int | None]], segment_col: str = "segment_id",
                     offset_col: str = "offset") -> Column:
-    """OR of per-segment offset ranges, as literals (pushes down to Parquet)."""
+    """OR of per-segment offset ranges as literals (pushes down to Parquet).
+
+    Built as one SQL expression: a single parse instead of a py4j call per
+    comparison, which matters with many segments."""
     if not ranges:
         return F.lit(False)
-    seg, off = F.col(segment_col), F.col(offset_col)
+    seg, off = f"`{segment_col}`", f"`{offset_col}`"
     terms = []
     for s, (lo, hi) in sorted(ranges.items()):
-        t = seg == F.lit(int(s))
+        t = [f"{seg} = {int(s)}"]
         if lo > 0:
-            t = t & (off >= F.lit(int(lo)))
+            t.append(f"{off} >= {int(lo)}")
         if hi is not None:
-            t = t & (off < F.lit(int(hi)))
-        terms.append(t)
-    pred = terms[0]
-    for t in terms[1:]:
-        pred = pred | t
-    return pred
+            t.append(f"{off} < {int(hi)}")
+        terms.append("(" + " AND ".join(t) + ")")
+    return F.expr(" OR ".join(terms))
+
+
+def small_table(spark, rows: list[tuple], names: list[str], types: list[str]) -> DataFrame:
+    """A driver-side table of known small size (one row per segment) built in
+    the JVM from one literal SQL expression, without a Python RDD."""
+    if not rows:
+        return spark.range(0).select(*[F.lit(None).cast(t).alias(n) for n, t in zip(names, types)])
+
+    def lit(v, t):
+        return f"CAST({'NULL' if v is None else int(v)} AS {t})"
+
+    structs = ", ".join(
+        "struct(" + ", ".join(f"{lit(v, t)} AS `{n}`" for v, n, t in zip(r, names, types)) + ")" for r in rows
+    )
+    return spark.range(1).select(F.expr(f"inline(array({structs}))"))
 
 
 def filter_ranges(df: DataFrame, ranges: dict[int, tuple[int, int | None]], segment_col: str = "segment_id",
@@ -105,10 +120,8 @@ def filter_ranges(df: DataFrame, ranges: dict[int, tuple[int, int | None]], segm
     if len(ranges) <= LITERAL_SEGMENTS_MAX:
         return df.where(range_predicate(ranges, segment_col, offset_col))
     spark = df.sparkSession
-    table = spark.createDataFrame(
-        [(int(s), int(lo), None if hi is None else int(hi)) for s, (lo, hi) in ranges.items()],
-        "_rs bigint, _lo bigint, _hi bigint",
-    )
+    table = small_table(spark, [(int(s), int(lo), None if hi is None else int(hi)) for s, (lo, hi) in ranges.items()],
+                        ["_rs", "_lo", "_hi"], ["bigint", "bigint", "bigint"])
     cond = (F.col(segment_col) == F.col("_rs")) & (F.col(offset_col) >= F.col("_lo")) & (
         F.col("_hi").isNull() | (F.col(offset_col) < F.col("_hi"))
     )
@@ -146,7 +159,7 @@ def next_cut_frame(df: DataFrame, start: dict[int, int], budget: int,
         if hi > int(c):
             ranges[int(s)] = (int(c), hi)
     spark = df.sparkSession
-    starts = spark.createDataFrame([(int(s), int(c)) for s, c in start.items()], "segment_id bigint, _from bigint")
+    starts = small_table(spark, [(int(s), int(c)) for s, c in start.items()], ["segment_id", "_from"], ["bigint", "bigint"])
     taken = filter_ranges(df, ranges).groupBy("segment_id").agg(
         F.max(F.col("offset") + F.col("len")).alias("_to")
     )

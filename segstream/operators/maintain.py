@@ -17,11 +17,8 @@ def truncate_at(df: DataFrame, head: dict[int, int]) -> DataFrame:
     everything (they are newer than the cut)."""
     if not head:
         return df
-    cond = None
-    for s, h in sorted(head.items()):
-        t = (F.col("segment_id") == F.lit(int(s))) & (F.col("offset") < F.lit(int(h)))
-        cond = t if cond is None else (cond | t)
-    return df.where(~cond)
+    cond = " OR ".join(f"(`segment_id` = {int(s)} AND `offset` < {int(h)})" for s, h in sorted(head.items()))
+    return df.where(~F.expr(cond))
 
 
 def head_cut_frame(survivors: DataFrame, all_events: DataFrame) -> DataFrame:

@@ -120,10 +120,9 @@ def assign_offsets(
 
 
 def _base_map(base: dict[int, int]) -> Column:
-    items = []
-    for k in sorted(base):
-        items += [F.lit(int(k)).cast("bigint"), F.lit(int(base[k])).cast("bigint")]
-    return F.create_map(*items)
+    """Per-segment start offsets as one map literal (one entry per segment)."""
+    items = ", ".join(f"CAST({int(k)} AS BIGINT), CAST({int(base[k])} AS BIGINT)" for k in sorted(base))
+    return F.expr(f"map({items})")
 
 
 def tail_positions(df: DataFrame, segment_col: str = "segment_id") -> DataFrame:

@@ -103,6 +103,11 @@ def files_frame(spark: SparkSession, root: str, scope: str, stream: str, snap: S
         paths = [f"{base}/txn={t}" for t in snap.txns if t not in snap.rel_txns]
     else:
         paths = [f["path"] for f in snap.files if "base" not in f and wanted(f)]
+        if len(paths) > EXPLICIT_FILES_MAX:
+            # Listing many explicit files costs a parallel listing job; their
+            # transaction folders list fast, and the segment partition filter and
+            # offset row-group statistics still skip what is out of range.
+            paths = sorted({f"{base}/txn={_txn_of(p)}" for p in paths})
     parts = []
     if paths:
         parts.append(spark.read.schema(FILE_SCHEMA).option("basePath", base).parquet(*paths))
@@ -116,6 +121,13 @@ def files_frame(spark: SparkSession, root: str, scope: str, stream: str, snap: S
     return out
 
 
+EXPLICIT_FILES_MAX = 32  # Spark lists more paths than this with a parallel job
+
+
+def _txn_of(path: str) -> str:
+    return path.split("/txn=", 1)[1].split("/", 1)[0]
+
+
 def _relative_files(spark: SparkSession, base: str, files: list[dict]) -> DataFrame:
     """Files whose offsets are relative: add each file's base from the log.
     The (file name, base) table has one row per file of the log: its size is
