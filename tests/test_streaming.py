@@ -175,7 +175,11 @@ def test_rate_source_to_table(spark, root, scratch):
         F.col("timestamp").cast("string").alias("event"), F.col("value").cast("string").alias("routing_key"))
     q = stream_to_table(rate, root, "s", "t", checkpoint=f"{scratch}/ck", processing_time="1 second",
                         opts={"default_num_segments": "2"})
-    time.sleep(4)
+    deadline = time.time() + 120
+    while time.time() < deadline and not CommitLog(spark, root, "s", "t").stream_exists():
+        time.sleep(0.5)
+    while time.time() < deadline and not any(p["numInputRows"] > 0 for p in q.recentProgress):
+        time.sleep(0.5)
     q.stop()
     assert TB.read_stream(spark, root, "s", "t").count() > 0
 
