@@ -64,9 +64,18 @@ class FileGroup(InputPartition):
 PACK_BYTES = 128 << 20  # target bytes per input partition, like spark.sql.files.maxPartitionBytes
 
 
-def _pack(parts: list[FilePart], target: int = PACK_BYTES) -> list[FileGroup]:
-    """First-fit packing of file slices by their byte extent, in segment and
-    offset order, so a partition never grows past ``target`` unless one slice does."""
+PACK_MIN_BYTES = 4 << 20
+PACK_SPREAD = 16  # aim for up to this many partitions per scan before packing to PACK_BYTES
+
+
+def _pack(parts: list[FilePart], target: int | None = None) -> list[FileGroup]:
+    """Packing of file slices by their byte extent, in segment and offset
+    order.  The target size spreads a scan over up to ``PACK_SPREAD`` tasks,
+    between ``PACK_MIN_BYTES`` and ``PACK_BYTES`` per task; a partition only
+    grows past the target when one slice does."""
+    if target is None:
+        total = sum((p.hi - p.lo) if p.hi is not None else PACK_BYTES for p in parts)
+        target = min(PACK_BYTES, max(PACK_MIN_BYTES, total // PACK_SPREAD))
     groups, cur, size = [], [], 0
     for p in sorted(parts, key=lambda x: (x.segment_id, x.lo)):
         est = p.hi - p.lo if p.hi is not None else PACK_BYTES
@@ -116,7 +125,7 @@ def _read_file(part: FilePart, scope: str, stream: str) -> Iterator:
     groups = _row_groups_in_range(pf, lo, hi)
     if not groups:
         return
-    for batch in pf.iter_batches(columns=["event", "offset"], batch_size=8192, row_groups=groups):
+    for batch in pf.iter_batches(columns=["event", "offset"], batch_size=65536, row_groups=groups):
         off = batch.column(1)
         if part.base:
             off = pc.add(off, pa.scalar(part.base, pa.int64()))
@@ -129,8 +138,9 @@ def _read_file(part: FilePart, scope: str, stream: str) -> Iterator:
             continue
         n = b.num_rows
         yield pa.RecordBatch.from_arrays(
-            [b.column(0).cast(pa.binary()), pa.array([scope] * n, pa.string()), pa.array([stream] * n, pa.string()),
-             pa.array([part.segment_id] * n, pa.int64()), b.column(1)],
+            [b.column(0).cast(pa.binary()), pa.nulls(n, pa.string()).fill_null(scope),
+             pa.nulls(n, pa.string()).fill_null(stream), pa.nulls(n, pa.int64()).fill_null(part.segment_id),
+             b.column(1)],
             names=["event", "scope", "stream", "segment_id", "offset"],
         )
 
