@@ -66,3 +66,8 @@ def lineitem_stream(spark: SparkSession, sf_dir: str, n_segments: int = 16) -> D
         "_payload", F.to_json(F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus"))
     ).withColumn("_order", F.col("l_orderkey") * F.lit(8) + F.col("l_linenumber"))
     return as_stream(li, "demo", "lineitem", "l_orderkey", "_payload", "_order", "l_shipdate", n_segments)
+
+
+def documents_stream(spark: SparkSession, sf_dir: str, n_segments: int = 4) -> DataFrame:
+    """``documents`` as a stream of large UTF-8 payloads: key source, payload text, order doc_id."""
+    return as_stream(table(spark, sf_dir, "documents"), "demo", "documents", "source", "text", "doc_id", None, n_segments)

@@ -150,5 +150,13 @@ FROM side l JOIN side r ON l.key = r.key""",
     + '\nSELECT seq, segment_id, "offset", len FROM cv',
 }
 
+DOCS = "WITH " + _stream("dc", "documents", "source", "text", "doc_id", "NULL", 4)
+ORACLE["documents_offsets"] = DOCS + '\nSELECT seq, segment_id, "offset", len FROM dc'
+ORACLE["documents_next_cut"] = DOCS + """,
+segs AS (SELECT CAST(segment_id AS BIGINT) AS segment_id FROM (VALUES (0), (1), (2), (3)) t(segment_id))
+SELECT s.segment_id, CAST(COALESCE(max(d."offset" + d.len), 0) AS BIGINT) AS position
+FROM segs s LEFT JOIN dc d ON d.segment_id = s.segment_id AND d."offset" < 400000 // 4
+GROUP BY s.segment_id"""
+
 # Same numbers as the Spark frame version of StreamInfo.
 ORACLE["meta_stream_info_frame"] = ORACLE["meta_stream_info"]

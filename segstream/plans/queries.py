@@ -441,6 +441,25 @@ def q_conversations_offsets(spark, sf_dir):
     return conversations_stream(spark, sf_dir).select("seq", "segment_id", "offset", "len")
 
 
+DOC_SEGMENTS = 4
+DOC_BUDGET = 400000
+
+
+def q_documents_offsets(spark, sf_dir):
+    """Large multi-language payloads: offsets count bytes of whole texts."""
+    from segstream.plans.fixture import documents_stream
+
+    return documents_stream(spark, sf_dir, DOC_SEGMENTS).select("seq", "segment_id", "offset", "len")
+
+
+def q_documents_next_cut(spark, sf_dir):
+    """Next cut over large events: a segment always takes at least its first event."""
+    from segstream.plans.fixture import documents_stream
+
+    ev = documents_stream(spark, sf_dir, DOC_SEGMENTS)
+    return next_cut_frame(ev, {s: 0 for s in range(DOC_SEGMENTS)}, DOC_BUDGET)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "route_to_segment": q_route_to_segment,
     "assign_offsets": q_assign_offsets,
@@ -484,4 +503,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "event_from_map": q_event_from_map,
     "json_tuple_readback": q_json_tuple_readback,
     "conversations_offsets": q_conversations_offsets,
+    "documents_offsets": q_documents_offsets,
+    "documents_next_cut": q_documents_next_cut,
 }

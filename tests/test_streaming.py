@@ -236,3 +236,27 @@ def test_write_stream_format(spark, root, scratch):
 
 def _seen_table(spark, root):
     return sorted(r.e for r in TB.read_stream(spark, root, "s", "t").select(F.col("event").cast("string").alias("e")).collect())
+
+
+def test_stress_random_appends_and_scalings(spark, root, scratch):
+    """Random data, random scalings and a random byte budget: every value
+    arrives exactly once."""
+    import random
+
+    rnd = random.Random(1)
+    _append(spark, root, [101, 102, 103, 104, 105])
+    budget = rnd.choice([1, 20, 100, 1000])
+    df = _reader(spark, root, start_stream_cut="earliest", approx_bytes_per_trigger=str(budget))
+    q = _run(df, "stress", f"{scratch}/c")
+    expect = [101, 102, 103, 104, 105]
+    nxt = 200
+    for _ in range(5):
+        if rnd.random() < 0.4:
+            TB.scale(spark, root, "s", "t", rnd.randint(1, 6))
+        vals = list(range(nxt, nxt + rnd.randint(1, 15)))
+        nxt += 100
+        _append(spark, root, vals, key=None)
+        expect += vals
+        q.processAllAvailable()
+    q.stop()
+    assert _seen(spark, "stress") == sorted(v + 1 for v in expect)
