@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from segstream.functions.routing import EPOCH_SHIFT, event_length, segment_for_key
+from segstream.functions.routing import event_length, segment_for_key
 from segstream.operators.offsets import assign_offsets
 
 
@@ -61,8 +61,7 @@ def retain_by_size(df: DataFrame, limit_bytes: int, blocks: int | None = None) -
     return x.where(F.col("_newer") + F.col("len") <= F.lit(int(limit_bytes))).drop("_all", "_rev", "_newer")
 
 
-def place_in_epochs(df: DataFrame, epochs: list[tuple[int, int]], n_for_epoch: dict[int, int],
-                    epoch_col: str = "_epoch") -> DataFrame:
+def place_in_epochs(df: DataFrame, n_for_epoch: dict[int, int], epoch_col: str = "_epoch") -> DataFrame:
     """Route events to the segments of the epoch they were appended in.
 
     ``df`` carries an ``_epoch`` column; ``n_for_epoch[e]`` is the number of
@@ -81,7 +80,7 @@ def scale_stream(df: DataFrame, split_seq: int, n_before: int, n_after: int) ->
     """Re-route: events with ``seq < split_seq`` in epoch 0 with ``n_before``
     segments, the rest in epoch 1 with ``n_after`` segments; offsets per segment."""
     x = df.withColumn("_epoch", F.when(F.col("seq") < F.lit(int(split_seq)), F.lit(0)).otherwise(F.lit(1)))
-    x = place_in_epochs(x.drop("segment_id", "offset"), [], {0: n_before, 1: n_after})
+    x = place_in_epochs(x.drop("segment_id", "offset"), {0: n_before, 1: n_after})
     if "len" not in x.columns:
         x = x.withColumn("len", event_length("event"))
     return assign_offsets(x.drop("_epoch"), order_by="seq", n_segments=n_before + n_after)
@@ -119,5 +118,3 @@ def _window_seconds(window: str) -> int:
     unit = unit.rstrip("s").lower()
     return int(n) * {"second": 1, "minute": 60, "hour": 3600, "day": 86400}[unit]
 
-
-EPOCH = EPOCH_SHIFT

@@ -30,8 +30,12 @@ def as_stream(
     order: str,
     append_ts: str | None,
     n_segments: int,
+    tiebreak: bool = False,
 ) -> DataFrame:
-    """Route and place the rows of ``df`` as an appended stream."""
+    """Route and place the rows of ``df`` as an appended stream.
+
+    ``tiebreak``: the order column is not unique, so ties are ordered by the
+    payload bytes (equal payloads have equal lengths, so offsets are defined)."""
     placed = df.select(
         F.lit(scope).alias("scope"),
         F.lit(stream).alias("stream"),
@@ -43,7 +47,8 @@ def as_stream(
     placed = placed.withColumn("len", event_length("event")).withColumn(
         "segment_id", segment_for_key("routing_key", n_segments, event="event")
     )
-    return assign_offsets(placed, order_by="seq", n_segments=n_segments).select(*STREAM_COLUMNS)
+    order = ["seq", "event"] if tiebreak else ["seq"]
+    return assign_offsets(placed, order_by=order, n_segments=n_segments).select(*STREAM_COLUMNS)
 
 
 def events_stream(spark: SparkSession, sf_dir: str, n_segments: int = 3) -> DataFrame:
@@ -65,7 +70,7 @@ def lineitem_stream(spark: SparkSession, sf_dir: str, n_segments: int = 16) -> D
     li = li.withColumn(
         "_payload", F.to_json(F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus"))
     ).withColumn("_order", F.col("l_orderkey") * F.lit(8) + F.col("l_linenumber"))
-    return as_stream(li, "demo", "lineitem", "l_orderkey", "_payload", "_order", "l_shipdate", n_segments)
+    return as_stream(li, "demo", "lineitem", "l_orderkey", "_payload", "_order", "l_shipdate", n_segments, tiebreak=True)
 
 
 def documents_stream(spark: SparkSession, sf_dir: str, n_segments: int = 4) -> DataFrame:

@@ -10,14 +10,15 @@ from __future__ import annotations
 SEG = "CAST(((('0x' || substr(md5(CAST({key} AS VARCHAR)), 1, 8))::BIGINT * {n}) // 4294967296) AS BIGINT)"
 
 
-def _stream(name: str, src: str, key: str, payload: str, order: str, ts: str, n: int = 3) -> str:
+def _stream(name: str, src: str, key: str, payload: str, order: str, ts: str, n: int = 3, tiebreak: bool = False) -> str:
     seg = SEG.format(key=key, n=n)
+    order_by = "seq, event" if tiebreak else "seq"
     return f"""{name}0 AS (
   SELECT 'demo' AS scope, CAST({key} AS VARCHAR) AS routing_key, {payload} AS event, CAST({order} AS BIGINT) AS seq,
          {ts} AS append_ts, CAST(8 + strlen({payload}) AS BIGINT) AS len, {seg} AS segment_id
   FROM {src}),
 {name} AS (
-  SELECT *, CAST(COALESCE(SUM(len) OVER (PARTITION BY segment_id ORDER BY seq
+  SELECT *, CAST(COALESCE(SUM(len) OVER (PARTITION BY segment_id ORDER BY {order_by}
          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS "offset"
   FROM {name}0)"""
 
@@ -158,5 +159,11 @@ SELECT s.segment_id, CAST(COALESCE(max(d."offset" + d.len), 0) AS BIGINT) AS pos
 FROM segs s LEFT JOIN dc d ON d.segment_id = s.segment_id AND d."offset" < 400000 // 4
 GROUP BY s.segment_id"""
 
+LI_JSON = ("""'{"l_orderkey":' || CAST(l_orderkey AS VARCHAR) || ',"l_linenumber":' || CAST(l_linenumber AS VARCHAR)"""
+           """ || ',"l_partkey":' || CAST(l_partkey AS VARCHAR) || ',"l_suppkey":' || CAST(l_suppkey AS VARCHAR)"""
+           """ || ',"l_returnflag":"' || l_returnflag || '","l_linestatus":"' || l_linestatus || '"}'""")
+ORACLE["lineitem_offsets"] = ("WITH " + _stream("li", "lineitem", "l_orderkey", LI_JSON, "l_orderkey * 8 + l_linenumber",
+                                               "l_shipdate", 16, tiebreak=True) + '\nSELECT seq, segment_id, "offset", len FROM li')
+
 # Same numbers as the Spark frame version of StreamInfo.
 ORACLE["meta_stream_info_frame"] = ORACLE["meta_stream_info"]

@@ -460,6 +460,13 @@ def q_documents_next_cut(spark, sf_dir):
     return next_cut_frame(ev, {s: 0 for s in range(DOC_SEGMENTS)}, DOC_BUDGET)
 
 
+def q_lineitem_offsets(spark, sf_dir):
+    """The scale fixture: lineitem rows as JSON events over 16 segments."""
+    from segstream.plans.fixture import lineitem_stream
+
+    return lineitem_stream(spark, sf_dir, 16).select("seq", "segment_id", "offset", "len")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "route_to_segment": q_route_to_segment,
     "assign_offsets": q_assign_offsets,
@@ -505,4 +512,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "conversations_offsets": q_conversations_offsets,
     "documents_offsets": q_documents_offsets,
     "documents_next_cut": q_documents_next_cut,
+    "lineitem_offsets": q_lineitem_offsets,
 }

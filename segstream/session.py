@@ -8,7 +8,6 @@ folder when the session has none, which is the case in unit tests.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -63,20 +62,3 @@ def shared_root(spark: SparkSession) -> str:
 def fresh_table_root(spark: SparkSession, label: str = "tables") -> str:
     """A new, empty table root under the shared folder (one per run)."""
     return f"{shared_root(spark)}/segstream-{label}/{uuid.uuid4().hex}"
-
-
-def is_local_path(path: str) -> bool:
-    return path.startswith("file:") or "://" not in path
-
-
-def local_os_path(path: str) -> str:
-    if path.startswith("file://"):
-        return path[len("file://"):]
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    return path
-
-
-def makedirs(path: str) -> None:
-    if is_local_path(path):
-        os.makedirs(local_os_path(path), exist_ok=True)
