@@ -8,6 +8,8 @@ data source (``register``); SQL: ``register_view``.
 
 from segstream.sources.table import (
     append,
+    autoscale,
+    load_report,
     apply_retention,
     compact,
     list_streams,
@@ -41,6 +43,6 @@ def stream_to_table(*args, **kwargs):
 
 
 __all__ = [
-    "append", "apply_retention", "compact", "list_streams", "next_cut", "read_events", "read_stream", "register",
+    "append", "autoscale", "load_report", "apply_retention", "compact", "list_streams", "next_cut", "read_events", "read_stream", "register",
     "register_view", "scale", "stream_info", "stream_to_table", "truncate", "vacuum",
 ]

@@ -398,6 +398,41 @@ def apply_retention(spark: SparkSession, root: str, scope: str, stream: str) ->
     return cut
 
 
+def load_report(spark: SparkSession, root: str, scope: str, stream: str, window: str = "1 minute") -> DataFrame:
+    """Events and bytes per segment and time window of the current epoch,
+    flagged against the stream's scaling policy (``needs_split``)."""
+    from segstream.operators.maintain import segment_load
+
+    log = CommitLog(spark, root, scope, stream)
+    snap = log.snapshot()
+    policy = O.StreamConfig.from_json(snap.config).scaling
+    events = read_events(spark, root, scope, stream, snap=snap)
+    events = events.where(F.col("segment_id").isin([int(s) for s in snap.current_segments]))
+    return segment_load(
+        events, window,
+        target_events_per_sec=policy.target_rate if policy.kind == "by_event_rate" else None,
+        target_kib_per_sec=policy.target_rate if policy.kind == "by_data_rate" else None,
+    )
+
+
+def autoscale(spark: SparkSession, root: str, scope: str, stream: str, window: str = "1 minute") -> int | None:
+    """Apply the stream's rate policy once: when a segment of the current epoch
+    went over the target rate in a window, scale to ``segments * factor``.
+    Returns the new segment count, or None when nothing changes (fixed
+    policies never scale).  Only one row per flagged window comes back."""
+    log = CommitLog(spark, root, scope, stream)
+    snap = log.snapshot()
+    policy = O.StreamConfig.from_json(snap.config).scaling
+    if policy.kind == "fixed" or policy.scale_factor < 2:
+        return None
+    hot = load_report(spark, root, scope, stream, window).where("needs_split").limit(1).count()
+    if not hot:
+        return None
+    n = len(snap.current_segments) * policy.scale_factor
+    scale(spark, root, scope, stream, n)
+    return n
+
+
 COMPACT_TARGET_BYTES = 128 << 20
 
 

@@ -254,3 +254,20 @@ def test_source_partitions_pack_small_files(spark, root):
     assert len(groups) == 1 and len(groups[0].parts) == len(snap.files)
     big = [FilePart(f"f{i}", 0, i * PACK_BYTES, (i + 1) * PACK_BYTES) for i in range(3)]
     assert len(_pack(big)) == 3
+
+
+def test_load_report_and_autoscale(spark, root):
+    opts = {"default_num_segments": "2", "default_scale_factor": "2", "default_segment_target_rate_events_per_sec": "1"}
+    rows = [(str(v), str(v)) for v in range(300)]  # one append: all in the same minute window
+    TB.append(spark.createDataFrame(rows, "event string, routing_key string"), root, "s", "t", opts=opts)
+    rep = TB.load_report(spark, root, "s", "t", "1 minute").collect()
+    assert sum(r.events for r in rep) == 300
+    assert any(r.needs_split for r in rep)  # > 60 events per minute in a segment
+    assert TB.autoscale(spark, root, "s", "t") == 4
+    assert len(CommitLog(spark, root, "s", "t").snapshot().current_segments) == 4
+    # nothing appended to the new epoch yet: no further scaling
+    assert TB.autoscale(spark, root, "s", "t") is None
+    # a fixed policy never scales
+    TB.append(spark.createDataFrame(rows, "event string, routing_key string"), root, "s", "fixed",
+              opts={"default_num_segments": "2"})
+    assert TB.autoscale(spark, root, "s", "fixed") is None
