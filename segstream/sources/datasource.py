@@ -371,30 +371,45 @@ def _cap(cut: dict[int, int], end: dict[int, int]) -> dict[int, int]:
 
 def _next_cut_files(snap, frm: dict[int, int], budget: int) -> dict[int, int]:
     """Next cut under the byte budget, reading only ``offset``/``len`` of the
-    files that overlap each segment's window."""
-    import pyarrow.compute as pc
-    import pyarrow.parquet as pq
-
-    from segstream.sources.log import ArrowFS, _strip_scheme
+    files that overlap each segment's window.  Segments are read in parallel
+    threads (pyarrow releases the GIL while it reads)."""
+    from concurrent.futures import ThreadPoolExecutor
 
     b = budget_per_segment(budget, len(frm))
-    out = dict(frm)
     by_seg: dict[int, list] = {}
     for f in snap.files:
         by_seg.setdefault(int(f["segment_id"]), []).append(f)
-    for s, c in frm.items():
+
+    def advance(item):
+        s, c = item
         lo, hi = int(c), int(c) + b
         best = None
         for f in by_seg.get(s, []):
             if f["hi"] <= lo or f["lo"] >= hi:
                 continue
-            fs = ArrowFS(f["path"]).arrow_fs
-            base = int(f.get("base", 0))
-            t = pq.read_table(_strip_scheme(f["path"]), columns=["offset", "len"], filesystem=fs,
-                              filters=[("offset", ">=", lo - base), ("offset", "<", hi - base)])
-            if t.num_rows:
-                m = pc.max(pc.add(t.column("offset"), t.column("len"))).as_py() + base
+            m = _window_end(f, lo, hi)
+            if m is not None:
                 best = m if best is None else max(best, m)
-        if best is not None:
-            out[s] = int(best)
-    return out
+        return s, (int(best) if best is not None else int(c))
+
+    items = list(frm.items())
+    if len(items) <= 1:
+        return dict(advance(i) for i in items)
+    with ThreadPoolExecutor(max_workers=min(16, len(items))) as pool:
+        return dict(pool.map(advance, items))
+
+
+def _window_end(f: dict, lo: int, hi: int) -> int | None:
+    """End of the last event of file ``f`` whose start offset is in ``[lo, hi)``."""
+    import pyarrow.compute as pc
+    import pyarrow.parquet as pq
+
+    from segstream.sources.log import ArrowFS, _strip_scheme
+
+    fs = ArrowFS(f["path"]).arrow_fs
+    base = int(f.get("base", 0))
+    t = pq.read_table(_strip_scheme(f["path"]), columns=["offset", "len"], filesystem=fs,
+                      filters=[("offset", ">=", lo - base), ("offset", "<", hi - base)])
+    if not t.num_rows:
+        return None
+    return pc.max(pc.add(t.column("offset"), t.column("len"))).as_py() + base
