@@ -260,3 +260,12 @@ def test_stress_random_appends_and_scalings(spark, root, scratch):
         q.processAllAvailable()
     q.stop()
     assert _seen(spark, "stress") == sorted(v + 1 for v in expect)
+
+
+def test_console_sink(spark, root, scratch, capsys):
+    _append(spark, root, [1, 2, 3])
+    df = _reader(spark, root, start_stream_cut="earliest").selectExpr("CAST(event AS STRING) AS v")
+    q = df.writeStream.format("console").option("checkpointLocation", f"{scratch}/c").start()
+    q.processAllAvailable()
+    q.stop()
+    assert sum(p["numInputRows"] for p in q.recentProgress) == 3

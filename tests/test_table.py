@@ -271,3 +271,12 @@ def test_load_report_and_autoscale(spark, root):
     TB.append(spark.createDataFrame(rows, "event string, routing_key string"), root, "s", "fixed",
               opts={"default_num_segments": "2"})
     assert TB.autoscale(spark, root, "s", "fixed") is None
+
+
+def test_empty_append_commits_nothing(spark, root):
+    _append(spark, root, [1, 2])
+    before = CommitLog(spark, root, "s", "t").snapshot().version
+    empty = spark.createDataFrame([], "event string, routing_key string")
+    r = TB.append(empty, root, "s", "t")
+    assert r.rows == 0 and r.version is None
+    assert CommitLog(spark, root, "s", "t").snapshot().version == before
