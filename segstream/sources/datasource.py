@@ -97,8 +97,10 @@ class RowsPart(InputPartition):
 def _file_parts(snap, ranges: dict[int, tuple[int, int | None]]) -> list[FileGroup]:
     """Files overlapping the ranges, each clipped to its range (truncated
     prefixes skipped), packed into input partitions."""
+    from segstream.sources.log import iter_files
+
     parts = []
-    for f in snap.files:
+    for f in iter_files(snap, ranges.keys()):
         s = int(f["segment_id"])
         if s not in ranges:
             continue
@@ -376,8 +378,10 @@ def _next_cut_files(snap, frm: dict[int, int], budget: int) -> dict[int, int]:
     from concurrent.futures import ThreadPoolExecutor
 
     b = budget_per_segment(budget, len(frm))
+    from segstream.sources.log import iter_files
+
     by_seg: dict[int, list] = {}
-    for f in snap.files:
+    for f in iter_files(snap, frm.keys()):
         by_seg.setdefault(int(f["segment_id"]), []).append(f)
 
     def advance(item):

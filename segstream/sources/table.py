@@ -22,7 +22,7 @@ from segstream.functions.routing import event_length, segment_for_key
 from segstream.operators.cuts import filter_ranges, segment_ranges
 from segstream.operators.maintain import head_cut_frame, retain_by_size, retain_by_time, truncate_at
 from segstream.operators.offsets import assign_offsets
-from segstream.sources.log import CommitLog, Snapshot, StreamNotFoundError, data_dir
+from segstream.sources.log import CommitLog, Snapshot, StreamNotFoundError, data_dir, stream_dir
 
 READ_SCHEMA = T.StructType([
     T.StructField("event", T.BinaryType()),
@@ -103,6 +103,9 @@ def files_frame(spark: SparkSession, root: str, scope: str, stream: str, snap: S
         paths = [f"{base}/txn={t}" for t in snap.txns if t not in snap.rel_txns]
     else:
         paths = [f["path"] for f in snap.files if "base" not in f and wanted(f)]
+        # Large transactions keep their extents in a manifest: read their folders
+        # (segment partition filter and offset statistics still prune).
+        paths += [f"{base}/txn={t}" for t in sorted(snap.manifest_txns)]
         if len(paths) > EXPLICIT_FILES_MAX:
             # Listing many explicit files costs a parallel listing job; their
             # transaction folders list fast, and the segment partition filter and
@@ -288,21 +291,53 @@ def append(df: DataFrame, root: str, scope: str, stream: str, order_by: str | li
         .partitionBy("segment_id")
         .parquet(target)
     )
-    files = _file_extents(spark, target)
-    tail = {}
-    rows = 0
-    for f in files:
-        tail[f["segment_id"]] = max(tail.get(f["segment_id"], 0), f["hi"])
-        rows += f["rows"]
+    files, manifest, tail, rows = _extents(spark, target, f"{stream_dir(root, scope, stream)}/_manifests/{txn}")
     if rows == 0:
         # An empty append writes no log entry; the empty folder is vacuumed.
         return AppendResult(None, None, 0)
-    entry = {"kind": "append", "txn": txn, "files": files, "tail": {str(k): v for k, v in tail.items()},
-             "rows": rows, "query_id": query_id, "batch_id": batch_id}
+    entry = {"kind": "append", "txn": txn, "files": files, "manifest": manifest,
+             "tail": {str(k): v for k, v in tail.items()}, "rows": rows, "query_id": query_id, "batch_id": batch_id}
     v = log.commit(snap, entry)
     return AppendResult(v, txn, rows)
 
 
+INLINE_FILES_MAX = 20000  # beyond this many files a transaction's extents go to a Parquet manifest
+
+
+def _extents(spark: SparkSession, target: str, manifest_path: str):
+    """Per-file extents of a written transaction, and per-segment tails.
+
+    Up to ``INLINE_FILES_MAX`` files the extents come back to the driver and
+    go into the log entry (one row per file).  Beyond that they are written as
+    a Parquet manifest by the executors and only the per-segment tails (one
+    row per segment) come back."""
+    ext = _extent_frame(spark, target)
+    head = ext.limit(INLINE_FILES_MAX + 1).collect()
+    if len(head) <= INLINE_FILES_MAX:
+        files = [_extent_row(r) for r in head]
+        tail: dict[int, int] = {}
+        for f in files:
+            tail[f["segment_id"]] = max(tail.get(f["segment_id"], 0), f["hi"])
+        return files, None, tail, sum(f["rows"] for f in files)
+    ext.write.mode("errorifexists").parquet(manifest_path)
+    per = spark.read.parquet(manifest_path).groupBy("segment_id").agg(
+        F.max("hi").alias("hi"), F.sum("rows").alias("rows")).collect()
+    return [], manifest_path, {int(r["segment_id"]): int(r["hi"]) for r in per}, int(sum(r["rows"] for r in per))
+
+
+def _extent_row(r) -> dict:
+    return {"path": r["path"], "segment_id": int(r["segment_id"]), "lo": int(r["lo"]), "hi": int(r["hi"]),
+            "rows": int(r["rows"])}
+
+
+def _extent_frame(spark: SparkSession, target: str) -> DataFrame:
+    df = spark.read.schema(
+        "event binary, routing_key string, seq bigint, append_ts timestamp_ntz, len bigint, offset bigint, segment_id bigint"
+    ).parquet(target)
+    return df.groupBy(F.input_file_name().alias("path"), "segment_id").agg(
+        F.min("offset").alias("lo"), F.max(F.col("offset") + F.col("len")).alias("hi"), F.count(F.lit(1)).alias("rows"))
+
+
 def _file_extents(spark: SparkSession, target: str) -> list[dict]:
     """Per written file: segment, first offset, end of last event, rows.
 
@@ -462,8 +497,9 @@ def compact(spark: SparkSession, root: str, scope: str, stream: str, target_byte
         .partitionBy("segment_id")
         .parquet(target)
     )
-    files = _file_extents(spark, target)
-    return log.commit(snap, {"kind": "compact", "txn": txn, "files": files, "replaces": len(snap.txns)})
+    files, manifest, _, _ = _extents(spark, target, f"{stream_dir(root, scope, stream)}/_manifests/{txn}")
+    return log.commit(snap, {"kind": "compact", "txn": txn, "files": files, "manifest": manifest,
+                             "replaces": len(snap.txns)})
 
 
 def vacuum(spark: SparkSession, root: str, scope: str, stream: str, older_than_ms: int | None = None) -> list[str]:

@@ -280,3 +280,34 @@ def test_empty_append_commits_nothing(spark, root):
     r = TB.append(empty, root, "s", "t")
     assert r.rows == 0 and r.version is None
     assert CommitLog(spark, root, "s", "t").snapshot().version == before
+
+
+def test_large_transactions_use_a_manifest(spark, root, monkeypatch, scratch):
+    """Extents of transactions with many files go to a Parquet manifest;
+    native reads, cut ranges, the data source, the streaming reader and
+    compaction all work from it."""
+    import json
+
+    monkeypatch.setattr(TB, "INLINE_FILES_MAX", 0)
+    k = keys_for_segments(3)
+    for i, key in enumerate(k):
+        _append(spark, root, range(i * 10, i * 10 + 10), key=key)
+    snap = CommitLog(spark, root, "s", "t").snapshot()
+    assert snap.files == [] and len(snap.manifests) == 3
+    assert _vals(TB.read_stream(spark, root, "s", "t")) == sorted(str(v) for v in range(30))
+    cut = {s: 8 + 1 for s in snap.current_segments}  # skip the first event of each segment
+    assert _vals(TB.read_stream(spark, root, "s", "t", start=cut)) == sorted(
+        str(v) for v in range(30) if v not in (0, 10, 20))
+    register(spark)
+    ds = spark.read.format("segstream").option("path", root).option("scope", "s").option("stream", "t") \
+        .option("start_stream_cut", json.dumps({str(a): b for a, b in cut.items()})).load()
+    assert _vals(ds) == sorted(str(v) for v in range(30) if v not in (0, 10, 20))
+    q = (spark.readStream.format("segstream").option("path", root).option("scope", "s").option("stream", "t")
+         .option("start_stream_cut", "earliest").option("approx_bytes_per_trigger", "30")
+         .load().writeStream.format("memory").queryName("mani").option("checkpointLocation", f"{scratch}/c").start())
+    q.processAllAvailable()
+    q.stop()
+    assert sorted(r.event.decode() for r in spark.sql("select event from mani").collect()) == sorted(str(v) for v in range(30))
+    before = sorted(tuple(r) for r in TB.read_stream(spark, root, "s", "t").collect())
+    TB.compact(spark, root, "s", "t")
+    assert sorted(tuple(r) for r in TB.read_stream(spark, root, "s", "t").collect()) == before
