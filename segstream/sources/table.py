@@ -338,24 +338,6 @@ def _extent_frame(spark: SparkSession, target: str) -> DataFrame:
         F.min("offset").alias("lo"), F.max(F.col("offset") + F.col("len")).alias("hi"), F.count(F.lit(1)).alias("rows"))
 
 
-def _file_extents(spark: SparkSession, target: str) -> list[dict]:
-    """Per written file: segment, first offset, end of last event, rows.
-
-    Reads three small columns of the files just written; one row per file
-    comes back (the file count of one transaction)."""
-    df = spark.read.schema(
-        "event binary, routing_key string, seq bigint, append_ts timestamp_ntz, len bigint, offset bigint, segment_id bigint"
-    ).parquet(target)
-    rows = (
-        df.groupBy(F.input_file_name().alias("path"), "segment_id")
-        .agg(F.min("offset").alias("lo"), F.max(F.col("offset") + F.col("len")).alias("hi"),
-             F.count(F.lit(1)).alias("rows"))
-        .collect()
-    )
-    return [{"path": r["path"], "segment_id": int(r["segment_id"]), "lo": int(r["lo"]), "hi": int(r["hi"]),
-             "rows": int(r["rows"])} for r in rows]
-
-
 def next_cut(spark: SparkSession, root: str, scope: str, stream: str, start: dict[int, int], budget: int,
              end: dict[int, int] | None = None) -> dict[int, int]:
     """Next cut under a byte budget, reading only the files that overlap each
