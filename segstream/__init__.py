@@ -12,6 +12,7 @@ from segstream.sources.table import (
     load_report,
     apply_retention,
     compact,
+    drop_truncated,
     list_streams,
     next_cut,
     read_events,
@@ -43,6 +44,6 @@ def stream_to_table(*args, **kwargs):
 
 
 __all__ = [
-    "append", "autoscale", "load_report", "apply_retention", "compact", "list_streams", "next_cut", "read_events", "read_stream", "register",
+    "append", "autoscale", "load_report", "apply_retention", "compact", "drop_truncated", "list_streams", "next_cut", "read_events", "read_stream", "register",
     "register_view", "scale", "stream_info", "stream_to_table", "truncate", "vacuum",
 ]

@@ -484,9 +484,34 @@ def compact(spark: SparkSession, root: str, scope: str, stream: str, target_byte
                              "replaces": len(snap.txns)})
 
 
+def drop_truncated(spark: SparkSession, root: str, scope: str, stream: str) -> list[str]:
+    """Drop from the stream every transaction whose files all end at or before
+    the head (truncation or retention made them invisible), with one log
+    entry; ``vacuum`` deletes their folders once the timeout has passed."""
+    from segstream.sources.log import iter_files, _txn_of_path
+
+    log = CommitLog(spark, root, scope, stream)
+    snap = log.snapshot()
+    if not snap.head:
+        return []
+    live: set[str] = set()
+    seen: set[str] = set()
+    for f in iter_files(snap):
+        t = _txn_of_path(f["path"])
+        seen.add(t)
+        if int(f["hi"]) > int(snap.head.get(int(f["segment_id"]), 0)):
+            live.add(t)
+    gone = sorted(seen - live)
+    if gone:
+        log.commit(snap, {"kind": "drop", "txns": gone})
+    return gone
+
+
 def vacuum(spark: SparkSession, root: str, scope: str, stream: str, older_than_ms: int | None = None) -> list[str]:
     """Delete transaction folders no log entry names (aborted or timed-out
-    writes) once they are older than the transaction timeout."""
+    writes, and transactions replaced by compaction or dropped after
+    truncation) once they are older than the transaction timeout, with their
+    manifests."""
     import time as _time
 
     log = CommitLog(spark, root, scope, stream)
@@ -505,6 +530,11 @@ def vacuum(spark: SparkSession, root: str, scope: str, stream: str, older_than_m
         if now - log.fs.modification_time_ms(f"{base}/{d}") >= limit:
             log.fs.delete(f"{base}/{d}")
             removed.append(txn)
+    manifests = f"{stream_dir(root, scope, stream)}/_manifests"
+    kept = snap.manifest_txns
+    for d in log.fs.list_dirs(manifests):
+        if d not in kept and now - log.fs.modification_time_ms(f"{manifests}/{d}") >= limit:
+            log.fs.delete(f"{manifests}/{d}")
     return removed
 
 

@@ -311,3 +311,20 @@ def test_large_transactions_use_a_manifest(spark, root, monkeypatch, scratch):
     before = sorted(tuple(r) for r in TB.read_stream(spark, root, "s", "t").collect())
     TB.compact(spark, root, "s", "t")
     assert sorted(tuple(r) for r in TB.read_stream(spark, root, "s", "t").collect()) == before
+
+
+def test_truncated_transactions_are_dropped_and_vacuumed(spark, root):
+    k = keys_for_segments(3)[0]
+    _append(spark, root, range(0, 5), key=k)
+    _append(spark, root, range(5, 10), key=k)
+    cut = CommitLog(spark, root, "s", "t").snapshot().tail_cut()
+    _append(spark, root, range(10, 15), key=k)
+    TB.truncate(spark, root, "s", "t", cut)
+    before = sorted(tuple(r) for r in TB.read_stream(spark, root, "s", "t").collect())
+    gone = TB.drop_truncated(spark, root, "s", "t")
+    assert len(gone) == 2
+    snap = CommitLog(spark, root, "s", "t").snapshot()
+    assert len(snap.txns) == 1
+    assert sorted(tuple(r) for r in TB.read_stream(spark, root, "s", "t").collect()) == before
+    assert sorted(TB.vacuum(spark, root, "s", "t", older_than_ms=0)) == sorted(gone)
+    assert _vals(TB.read_stream(spark, root, "s", "t")) == sorted(str(v) for v in range(10, 15))
