@@ -165,5 +165,8 @@ LI_JSON = ("""'{"l_orderkey":' || CAST(l_orderkey AS VARCHAR) || ',"l_linenumber
 ORACLE["lineitem_offsets"] = ("WITH " + _stream("li", "lineitem", "l_orderkey", LI_JSON, "l_orderkey * 8 + l_linenumber",
                                                "l_shipdate", 16, tiebreak=True) + '\nSELECT seq, segment_id, "offset", len FROM li')
 
+ORACLE["pages_offsets"] = ("WITH " + _stream("pg", "pages", "page_id", "html", "page_id", "NULL", 4)
+                           + '\nSELECT seq, segment_id, "offset", len FROM pg')
+
 # Same numbers as the Spark frame version of StreamInfo.
 ORACLE["meta_stream_info_frame"] = ORACLE["meta_stream_info"]

@@ -467,6 +467,14 @@ def q_lineitem_offsets(spark, sf_dir):
     return lineitem_stream(spark, sf_dir, 16).select("seq", "segment_id", "offset", "len")
 
 
+def q_pages_offsets(spark, sf_dir):
+    """Raw HTML pages as events (key page_id): byte lengths of whole pages."""
+    from segstream.plans.fixture import as_stream
+
+    pages = table(spark, sf_dir, "pages")
+    return as_stream(pages, "demo", "pages", "page_id", "html", "page_id", None, 4).select("seq", "segment_id", "offset", "len")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "route_to_segment": q_route_to_segment,
     "assign_offsets": q_assign_offsets,
@@ -513,4 +521,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "documents_offsets": q_documents_offsets,
     "documents_next_cut": q_documents_next_cut,
     "lineitem_offsets": q_lineitem_offsets,
+    "pages_offsets": q_pages_offsets,
 }
