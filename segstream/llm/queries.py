@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from segstream.llm.common import table
+from segstream.llm.quality import judged
 from segstream.llm.sharding import assign_shards
 from segstream.llm.urls import filter_urls
 
@@ -24,12 +25,18 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op5_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    return judged(table(spark, sf_dir, "documents")).select(*names)
+
+
 def op10_ring_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_shards(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
+    "op5_line_frequency": op5_line_frequency,
     "op10_ring_sharding": op10_ring_sharding,
 }
 
@@ -47,4 +54,29 @@ ORACLE: dict[str, str] = {
             coalesce((SELECT v FROM rules WHERE (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp)
              ORDER BY length(rh || rp) DESC, length(rh) DESC LIMIT 1), 'allow') AS verdict
         FROM parts""",
+    "op5_line_frequency": r"""
+        WITH d AS (SELECT doc_id, coalesce(source, '') AS host, coalesce(text, '') AS body,
+                list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words,
+                list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+                FROM documents),
+             grams AS (SELECT doc_id, body, i, array_to_string(words[i:i + 7], ' ') AS g
+                FROM (SELECT doc_id, body, words, unnest(range(1, len(words) - 6)) AS i FROM d WHERE len(words) >= 8)),
+             twice AS (SELECT doc_id, i, lead(i) OVER (PARTITION BY doc_id ORDER BY i) AS nxt
+                FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS c FROM grams) WHERE c > 1),
+             repeats AS (SELECT doc_id, sum(least(8, coalesce(nxt - i, 8))) AS n FROM twice GROUP BY doc_id),
+             line AS (SELECT doc_id, host, body, x, n FROM (SELECT doc_id, host, body,
+                    trim(regexp_replace(lower(l), '[\x20\x09-\x0D0-9]+', ' ', 'g')) AS x,
+                    len(list_filter(regexp_split_to_array(l, '[\x20\x09-\x0D]+'), lambda w: w <> '')) AS n
+                FROM (SELECT doc_id, host, body, unnest(lines) AS l FROM d))),
+             frequent AS (SELECT host, x, min(doc_id) AS keeper FROM line GROUP BY host, x HAVING count(DISTINCT body) > 20),
+             lost AS (SELECT doc_id, sum(n) AS n FROM line JOIN frequent USING (host, x) WHERE doc_id <> keeper GROUP BY doc_id),
+             base AS (SELECT doc_id, len(words)::BIGINT AS n_words, length(array_to_string(words, ''))::BIGINT AS word_chars,
+                length(regexp_replace(body, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols,
+                (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+                coalesce(repeats.n, 0)::BIGINT AS n_repeat_words, coalesce(lost.n, 0) AS n_lost
+                FROM d LEFT JOIN repeats USING (doc_id) LEFT JOIN lost USING (doc_id))
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+            n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+            NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND n_words - n_lost >= 0.3 * n_words AS kept
+        FROM base""",
 }
