@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from segstream.llm.common import table
+from segstream.llm.packing import pack_documents
 from segstream.llm.quality import judged
 from segstream.llm.sharding import assign_shards
 from segstream.llm.urls import filter_urls
@@ -30,6 +31,10 @@ def op5_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(table(spark, sf_dir, "documents")).select(*names)
 
 
+def op7_tier_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"))
+
+
 def op10_ring_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_shards(table(spark, sf_dir, "documents"))
 
@@ -37,6 +42,7 @@ def op10_ring_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op5_line_frequency": op5_line_frequency,
+    "op7_tier_packing": op7_tier_packing,
     "op10_ring_sharding": op10_ring_sharding,
 }
 
