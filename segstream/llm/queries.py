@@ -10,6 +10,7 @@ from segstream.llm.common import table
 from segstream.llm.packing import pack_documents
 from segstream.llm.quality import judged
 from segstream.llm.sharding import assign_shards
+from segstream.llm.tokenfile import token_digests
 from segstream.llm.urls import filter_urls
 
 #: The rules of op1.
@@ -26,6 +27,10 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_digests(table(spark, sf_dir, "documents"))
+
+
 def op5_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
     return judged(table(spark, sf_dir, "documents")).select(*names)
@@ -41,6 +46,7 @@ def op10_ring_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
+    "op4_token_files": op4_token_files,
     "op5_line_frequency": op5_line_frequency,
     "op7_tier_packing": op7_tier_packing,
     "op10_ring_sharding": op10_ring_sharding,
