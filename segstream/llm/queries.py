@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from segstream.llm.common import table
+from segstream.llm.neardup import near_duplicates
 from segstream.llm.packing import pack_documents
 from segstream.llm.quality import judged
 from segstream.llm.sharding import assign_shards
@@ -27,6 +28,10 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=85).drop("row")
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(table(spark, sf_dir, "documents"))
 
@@ -46,6 +51,7 @@ def op10_ring_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
+    "op2_near_duplicates": op2_near_duplicates,
     "op4_token_files": op4_token_files,
     "op5_line_frequency": op5_line_frequency,
     "op7_tier_packing": op7_tier_packing,
