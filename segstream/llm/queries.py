@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from segstream.llm.bpe import round_trip
 from segstream.llm.common import table
 from segstream.llm.neardup import near_duplicates
 from segstream.llm.packing import pack_documents
@@ -41,6 +42,10 @@ def op5_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(table(spark, sf_dir, "documents")).select(*names)
 
 
+def op6_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(table(spark, sf_dir, "documents"))
+
+
 def op7_tier_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
@@ -54,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_near_duplicates": op2_near_duplicates,
     "op4_token_files": op4_token_files,
     "op5_line_frequency": op5_line_frequency,
+    "op6_bpe_transducer": op6_bpe_transducer,
     "op7_tier_packing": op7_tier_packing,
     "op10_ring_sharding": op10_ring_sharding,
 }
