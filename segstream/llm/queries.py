@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from segstream.llm.ann import search
 from segstream.llm.bpe import round_trip
 from segstream.llm.common import table
 from segstream.llm.neardup import near_duplicates
@@ -50,6 +51,11 @@ def op7_tier_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op8_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return search(rows, rows.where("vec_id % 20 = 0"))
+
+
 def op10_ring_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_shards(table(spark, sf_dir, "documents"))
 
@@ -61,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_line_frequency": op5_line_frequency,
     "op6_bpe_transducer": op6_bpe_transducer,
     "op7_tier_packing": op7_tier_packing,
+    "op8_kmeans_tree": op8_kmeans_tree,
     "op10_ring_sharding": op10_ring_sharding,
 }
 
