@@ -14,6 +14,7 @@ from segstream.llm.packing import pack_documents
 from segstream.llm.quality import judged
 from segstream.llm.sharding import assign_shards
 from segstream.llm.tokenfile import token_digests
+from segstream.llm.toxicity import score_documents
 from segstream.llm.urls import filter_urls
 
 #: The rules of op1.
@@ -56,6 +57,11 @@ def op8_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(rows, rows.where("vec_id % 20 = 0"))
 
 
+def op9_toxicity_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
 def op10_ring_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_shards(table(spark, sf_dir, "documents"))
 
@@ -68,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_bpe_transducer": op6_bpe_transducer,
     "op7_tier_packing": op7_tier_packing,
     "op8_kmeans_tree": op8_kmeans_tree,
+    "op9_toxicity_grammar": op9_toxicity_grammar,
     "op10_ring_sharding": op10_ring_sharding,
 }
 
