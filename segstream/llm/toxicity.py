@@ -219,7 +219,7 @@ def learn_lexicon(toxic: list[str], clean: list[str]) -> tuple[dict[str, float],
     for i, t in enumerate(toxic):
         for u in units(t):
             holders[u].append(i)
-    support = max(3, math.ceil(0.004 * len(toxic)))
+    support = max(3, math.ceil(0.01 * len(toxic)))
     holders = {u: d for u, d in holders.items() if len(d) >= support}
     against: Counter = Counter()
     for t in clean:
@@ -254,7 +254,7 @@ def remainder(doc_id: Column, n: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % n
 
 
-def train(docs: DataFrame, labels: DataFrame, fit_toxic: int = 1000, fit_clean: int = 2000) -> Grammar:
+def train(docs: DataFrame, labels: DataFrame, fit_toxic: int = 1000, fit_clean: int = 4000) -> Grammar:
     """Grammar learned from the labelled rows of ``docs`` that aren't held out."""
     marked = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     marked = marked.where(remainder(F.col("doc_id"), 4) != 2)
@@ -276,7 +276,7 @@ def train(docs: DataFrame, labels: DataFrame, fit_toxic: int = 1000, fit_clean:
     return grammar
 
 
-def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, fit_toxic: int = 1000, fit_clean: int = 2000) -> DataFrame:
+def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, fit_toxic: int = 1000, fit_clean: int = 4000) -> DataFrame:
     """``docs`` with held_out, score and predicted."""
     shared = docs.sparkSession.sparkContext.broadcast(train(docs, labels, fit_toxic, fit_clean))
 
