@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from segstream.llm.ann import search
+from segstream.llm.attention import score_texts
 from segstream.llm.bpe import round_trip
 from segstream.llm.common import table
 from segstream.llm.neardup import near_duplicates
@@ -35,6 +36,10 @@ def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=85).drop("row")
 
 
+def op3_attention_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(table(spark, sf_dir, "documents"))
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(table(spark, sf_dir, "documents"))
 
@@ -69,6 +74,7 @@ def op10_ring_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op2_near_duplicates": op2_near_duplicates,
+    "op3_attention_scores": op3_attention_scores,
     "op4_token_files": op4_token_files,
     "op5_line_frequency": op5_line_frequency,
     "op6_bpe_transducer": op6_bpe_transducer,

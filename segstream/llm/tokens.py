@@ -121,7 +121,17 @@ class Encoder:
         self.known.new = {}
 
     def packed(self, texts: list[str | None]) -> list[bytes]:
-        cut = [self.pieces(t) if t else [] for t in texts]
+        return self.joined([self.pieces(t) if t else [] for t in texts])
+
+    def once(self, pieces: list[str]) -> list[bytes]:
+        """The ids of distinct pieces that won't come again; none is kept."""
+        self.learn(set(pieces).difference(self.known))
+        out = list(map(self.known.__getitem__, pieces))
+        self.known.new = {}
+        return out
+
+    def joined(self, cut: list[list[str]]) -> list[bytes]:
+        """The ids of each list of pieces."""
         self.learn(set().union(*cut).difference(self.known))
         out = [b"".join(map(self.known.__getitem__, c)) for c in cut]
         self.keep()
