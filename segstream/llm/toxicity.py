@@ -276,15 +276,19 @@ def train(docs: DataFrame, labels: DataFrame, fit_toxic: int = 1000, fit_clean:
     return grammar
 
 
-def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, fit_toxic: int = 1000, fit_clean: int = 4000) -> DataFrame:
-    """``docs`` with held_out, score and predicted."""
+def score_column(docs: DataFrame, labels: DataFrame, fit_toxic: int = 1000, fit_clean: int = 4000) -> Column:
+    """The toxicity of column ``text``, by a grammar learned from ``docs``."""
     shared = docs.sparkSession.sparkContext.broadcast(train(docs, labels, fit_toxic, fit_clean))
 
     @F.pandas_udf("double")
     def toxic(texts: pd.Series) -> pd.Series:
         return pd.Series(shared.value.score(texts))
 
-    score = toxic(F.col("text").cast("string"))
+    return toxic(F.col("text").cast("string"))
+
+
+def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, fit_toxic: int = 1000, fit_clean: int = 4000) -> DataFrame:
+    """``docs`` with held_out, score and predicted."""
     held = F.coalesce(remainder(F.col("doc_id"), 4) == 2, F.lit(False))
-    scored = with_outputs(docs, held_out=held, score=score)
+    scored = with_outputs(docs, held_out=held, score=score_column(docs, labels, fit_toxic, fit_clean))
     return with_outputs(scored, predicted=(F.col("score") >= threshold).cast("int"))
