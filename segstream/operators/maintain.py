@@ -57,10 +57,20 @@ def retain_by_size(df: DataFrame, limit_bytes: int, blocks: int | None = None) -
     offsets (one group per block of the order, never the whole stream).
     """
     x = df.withColumn("_all", F.lit(0).cast("bigint")).withColumn("_rev", -F.col("seq"))
-    x = assign_offsets(x, order_by="_rev", segment_col="_all", offset_col="_newer", blocks=blocks, n_segments=1)
+    x = assign_offsets(x, order_by="_rev", segment_col="_all", offset_col="_newer", blocks=blocks)
     return x.where(F.col("_newer") + F.col("len") <= F.lit(int(limit_bytes))).drop("_all", "_rev", "_newer")
 
 
+def retain_appended(df: DataFrame, limit_bytes: int, blocks: int | None = None) -> DataFrame:
+    """As ``retain_by_size`` for stored events: the append order is the append
+    time of the transaction, then (segment, offset)."""
+    x = df.withColumn("_all", F.lit(0).cast("bigint"))
+    age = F.unix_micros(F.col("append_ts").cast("timestamp"))
+    x = x.withColumn("_r0", -age).withColumn("_r1", -F.col("segment_id")).withColumn("_r2", -F.col("offset"))
+    x = assign_offsets(x, order_by=["_r0", "_r1", "_r2"], segment_col="_all", offset_col="_newer", blocks=blocks)
+    return x.where(F.col("_newer") + F.col("len") <= F.lit(int(limit_bytes))).drop("_all", "_r0", "_r1", "_r2", "_newer")
+
+
 def place_in_epochs(df: DataFrame, n_for_epoch: dict[int, int], epoch_col: str = "_epoch") -> DataFrame:
     """Route events to the segments of the epoch they were appended in.
 
@@ -83,7 +93,7 @@ def scale_stream(df: DataFrame, split_seq: int, n_before: int, n_after: int) ->
     x = place_in_epochs(x.drop("segment_id", "offset"), {0: n_before, 1: n_after})
     if "len" not in x.columns:
         x = x.withColumn("len", event_length("event"))
-    return assign_offsets(x.drop("_epoch"), order_by="seq", n_segments=n_before + n_after)
+    return assign_offsets(x.drop("_epoch"), order_by="seq")
 
 
 def segment_load(df: DataFrame, window: str = "1 hour", target_events_per_sec: int | None = None,

@@ -17,10 +17,9 @@ stream.  We do a two-level prefix sum instead:
 4. The rows are hash-partitioned on (segment_id, block) once; a window per
    (segment, block) adds the local running sum.  A group never holds more than
    one block, so a hot segment is spread over as many tasks as it has blocks.
-5. The base table joins back on (segment_id, block): broadcast when its bound
-   (segments x blocks) is under ``BROADCAST_MAX_ROWS``, otherwise a shuffle
-   join that only moves the small side (the big side is already partitioned
-   on the join keys).
+5. The base table joins back on (segment_id, block), null-safe; Spark's own
+   size threshold decides whether it is broadcast. A shuffle join only moves
+   the small side (the big side is already partitioned on the join keys).
 """
 
 from __future__ import annotations
@@ -30,8 +29,6 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BROADCAST_MAX_ROWS = 2_000_000
-
 _BLOCK = "_blk"
 _SEQ = "_seq"
 _BASE = "_base"
@@ -42,17 +39,26 @@ def _default_blocks(df: DataFrame) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
-def block_by_order(df: DataFrame, order_col: str, blocks: int, relative_error: float = 0.01) -> DataFrame:
+def block_by_order(df: DataFrame, order_col: str, blocks: int) -> DataFrame:
     """Add ``_blk``: quantile block of ``order_col`` (contiguous order ranges)."""
     from pyspark.ml.feature import Bucketizer
 
     probe = f"{_BLOCK}_x"
-    x = df.withColumn(probe, F.col(order_col).cast("double"))
+    kind = df.schema[order_col].dataType.typeName()
+    image = F.col(order_col)
+    if kind in ("timestamp_ntz", "date"):
+        image = image.cast("timestamp")
+    elif kind in ("string", "binary"):  # the first bytes, in byte order
+        image = F.conv(F.rpad(F.hex(F.substring(image.cast("binary"), 1, 6)), 12, "0"), 16, 10)
+    x = df.withColumn(probe, image.cast("double"))
     if blocks <= 1:
         return x.drop(probe).withColumn(_BLOCK, F.lit(0).cast("bigint"))
     probs = [i / blocks for i in range(1, blocks)]
-    cuts = x.approxQuantile(probe, probs, relative_error)  # one distributed pass, K numbers back
-    splits = sorted({float(c) for c in cuts if c is not None})
+    # one distributed pass, K numbers back; an error well under a block's share
+    cuts = x.approxQuantile(probe, probs, min(0.01, 0.25 / blocks))
+    splits = sorted({float(c) for c in cuts if c is not None and c == c})
+    if not splits:  # no rows, or no numeric image of the order
+        return x.drop(probe).withColumn(_BLOCK, F.lit(0).cast("bigint"))
     splits = [float("-inf")] + splits + [float("inf")]
     bucketizer = Bucketizer(splits=splits, inputCol=probe, outputCol=_BLOCK, handleInvalid="keep")
     # A null order value sorts first, so it belongs to block 0.
@@ -64,7 +70,6 @@ def assign_offsets(
     order_by: Sequence[str] | str | None = None,
     base: dict[int, int] | None = None,
     blocks: int | None = None,
-    n_segments: int | None = None,
     segment_col: str = "segment_id",
     len_col: str = "len",
     offset_col: str = "offset",
@@ -74,9 +79,7 @@ def assign_offsets(
     ``order_by``: columns giving the append order (must be unique per segment);
     when absent the order is the input's (partition, row) order, which is
     stable only for a deterministic input.  ``base``: per-segment offset to
-    start from (the tail of the stream before this append).  ``n_segments``:
-    bound on distinct segments, used to decide whether the base table may be
-    broadcast.
+    start from (the tail of the stream before this append).
     """
     if isinstance(order_by, str):
         order_by = [order_by]
@@ -90,7 +93,6 @@ def assign_offsets(
         keyed = df.withColumn(_BLOCK, F.spark_partition_id().cast("bigint")).withColumn(
             _SEQ, F.monotonically_increasing_id()
         )
-        k = blocks or max(1, df.rdd.getNumPartitions())
         order_cols = [F.col(_SEQ)]
 
     seg = F.col(segment_col)
@@ -104,17 +106,14 @@ def assign_offsets(
         start = start + F.coalesce(F.element_at(_base_map(base), seg), F.lit(0)).cast("bigint")
     bases = partial.select(segment_col, _BLOCK, start.alias(_BASE))
 
-    bound = (n_segments or (len(base) if base else 0) or 0) * k
-    if bound and bound <= BROADCAST_MAX_ROWS:
-        bases = F.broadcast(bases)
-
+    bases = bases.withColumnRenamed(segment_col, "_bseg").withColumnRenamed(_BLOCK, "_bblk")
     local = Window.partitionBy(segment_col, _BLOCK).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
     out = (
         keyed.repartition(segment_col, _BLOCK)
         .withColumn("_local", F.coalesce(F.sum(len_col).over(local), F.lit(0)).cast("bigint"))
-        .join(bases, [segment_col, _BLOCK], "inner")
+        .join(bases, F.col(segment_col).eqNullSafe(F.col("_bseg")) & F.col(_BLOCK).eqNullSafe(F.col("_bblk")), "inner")
         .withColumn(offset_col, (F.col(_BASE) + F.col("_local")).cast("bigint"))
-        .drop(_BASE, "_local", _BLOCK, _SEQ)
+        .drop(_BASE, "_local", _BLOCK, _SEQ, "_bseg", "_bblk")
     )
     return out
 

@@ -48,7 +48,7 @@ def as_stream(
         "segment_id", segment_for_key("routing_key", n_segments, event="event")
     )
     order = ["seq", "event"] if tiebreak else ["seq"]
-    return assign_offsets(placed, order_by=order, n_segments=n_segments).select(*STREAM_COLUMNS)
+    return assign_offsets(placed, order_by=order).select(*STREAM_COLUMNS)
 
 
 def events_stream(spark: SparkSession, sf_dir: str, n_segments: int = 3) -> DataFrame:

@@ -43,6 +43,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         # Only reached in tests / local runs: there is no shared folder to use.
         configured = tempfile.mkdtemp(prefix="segstream-ckpt-")
     sc.setCheckpointDir(configured)

@@ -10,10 +10,26 @@ disks and HDFS; object stores need a conditional put for that guarantee.
 from __future__ import annotations
 
 import json
+import os
+import posixpath
+import uuid
 
 from pyspark.sql import SparkSession
 
 
+def temporary(p: str) -> str:
+    """A hidden name beside ``p``; listings of versions skip it."""
+    return f"{posixpath.dirname(p)}/.{posixpath.basename(p)}.{uuid.uuid4().hex}.tmp"
+
+
+def link_exclusive(src: str, dst: str) -> bool:
+    try:
+        os.link(src, dst)
+    except FileExistsError:
+        return False
+    return True
+
+
 class HadoopFS:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -48,24 +64,36 @@ class HadoopFS:
         return sorted(str(s.getPath().getName()) for s in self._fs.listStatus(hp) if s.isDirectory())
 
     def create_exclusive(self, p: str, text: str) -> bool:
-        """Create ``p`` holding ``text``; False if it already exists."""
-        hp = self.path(p)
-        if self._fs.exists(hp):
+        """Create ``p`` holding ``text``; False if it already exists. The text is
+        written to a temporary file first, so ``p`` is never seen half-written:
+        a hard link (local disks) or a rename that refuses an existing target
+        (HDFS) publishes it."""
+        if self.exists(p):
             return False
-        try:
-            out = self._fs.create(hp, False)
-        except Exception as exc:  # FileAlreadyExistsException from a racing writer
-            if "exists" in str(exc).lower():
-                return False
-            raise
-        try:
-            data = bytearray(text.encode("utf-8"))
-            out.write(data)
-        finally:
-            out.close()
-        return True
+        tmp = temporary(p)
+        self._put(tmp, text)
+        if self._fs.getScheme() != "file":
+            done = self.rename(tmp, p)
+        else:
+            done = link_exclusive(self._local(tmp), self._local(p))
+        if self.exists(tmp):
+            self.delete(tmp)
+        return done
 
     def write_text(self, p: str, text: str) -> None:
+        """Replace ``p`` by a whole new file."""
+        tmp = temporary(p)
+        self._put(tmp, text)
+        if self._fs.getScheme() == "file":
+            os.replace(self._local(tmp), self._local(p))
+        else:
+            self.delete(p)
+            self.rename(tmp, p)
+
+    def _local(self, p: str) -> str:
+        return str(self.path(p).toUri().getPath())
+
+    def _put(self, p: str, text: str) -> None:
         out = self._fs.create(self.path(p), True)
         try:
             out.write(bytearray(text.encode("utf-8")))

@@ -73,7 +73,7 @@ def write_pieces(batches, o: dict, epoch: int, n: int) -> PiecesMessage:
         keys = b.column(names.index(O.ROUTING_KEY)).to_pylist() if O.ROUTING_KEY in names else [None] * len(ev)
         for e, k in zip(ev, keys):
             if e is None:
-                continue
+                raise ValueError("a row to append has no event")
             raw = e.encode("utf-8") if isinstance(e, str) else bytes(e)
             s = _segment(k, raw, epoch, n)
             evs, ks = per_seg.setdefault(s, ([], []))

@@ -10,7 +10,10 @@ writer into a fresh transaction folder, and become visible with one log entry.
 from __future__ import annotations
 
 import datetime as _dt
+import threading
+import time
 import uuid
+from urllib.parse import unquote
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,9 +23,17 @@ from pyspark.sql import types as T
 from segstream import options as O
 from segstream.functions.routing import event_length, segment_for_key
 from segstream.operators.cuts import filter_ranges, segment_ranges
-from segstream.operators.maintain import head_cut_frame, retain_by_size, retain_by_time, truncate_at
+from segstream.operators.maintain import head_cut_frame, retain_appended, retain_by_time, truncate_at
 from segstream.operators.offsets import assign_offsets
-from segstream.sources.log import CommitLog, Snapshot, StreamNotFoundError, data_dir, stream_dir
+from segstream.sources.log import (
+    CommitLog,
+    ConcurrentAppendError,
+    Snapshot,
+    StreamNotFoundError,
+    TransactionTimeoutError,
+    data_dir,
+    stream_dir,
+)
 
 READ_SCHEMA = T.StructType([
     T.StructField("event", T.BinaryType()),
@@ -62,7 +73,7 @@ class ScopeNotFoundError(RuntimeError):
 
 def ensure_stream(spark: SparkSession, root: str, scope: str, stream: str, opts: dict | None = None) -> CommitLog:
     """Create scope and stream if missing and allowed (config of an existing stream is kept)."""
-    o = O.lower_keys(opts or {})
+    o = O.validate_options({**(opts or {}), O.SCOPE: scope, O.STREAM: stream})
     log = CommitLog(spark, root, scope, stream)
     if O.flag(o, O.ALLOW_CREATE_SCOPE, True):
         log.create_scope()
@@ -220,16 +231,29 @@ def check_write_schema(df: DataFrame) -> None:
         raise WriteSchemaError(MSG_EVENT_TYPE.format(fields[O.EVENT].simpleString()))
 
 
+class NullEventError(ValueError):
+    """A row to append has no event."""
+
+
 def project_for_write(df: DataFrame, order_by: list[str] | None) -> DataFrame:
+    """The stored columns; ``seq`` is the first order column where it is an
+    integer (else its whole part), ``_o0``, ``_o1``, ... are the order columns
+    as they are, ``_row`` the input's (partition, row) order."""
     keep = [F.col(O.EVENT).cast("binary").alias("event")]
     if O.ROUTING_KEY in df.columns:
         keep.append(F.col(O.ROUTING_KEY).cast("string").alias("routing_key"))
     else:
         keep.append(F.lit(None).cast("string").alias("routing_key"))
     if order_by:
-        keep.append(F.col(order_by[0]).cast("bigint").alias("seq"))
-        keep += [F.col(c) for c in order_by[1:]]
-    return df.select(*keep)
+        first = F.col(order_by[0])
+        if df.schema[order_by[0]].dataType.typeName() in ("timestamp", "timestamp_ntz", "date"):
+            keep.append(F.unix_micros(first.cast("timestamp")).alias("seq"))
+        else:
+            keep.append(F.expr(f"try_cast(`{order_by[0]}` AS bigint)").alias("seq"))
+        keep += [F.col(c).alias(f"_o{i}") for i, c in enumerate(order_by)]
+    else:
+        keep.append(F.lit(None).cast("bigint").alias("seq"))
+    return df.select(*keep, F.monotonically_increasing_id().alias("_row"))
 
 
 @dataclass
@@ -245,10 +269,18 @@ def append(df: DataFrame, root: str, scope: str, stream: str, order_by: str | li
            exactly_once: bool | None = None) -> AppendResult:
     """Append the rows of ``df`` (columns ``event`` and optional ``routing_key``).
 
-    ``order_by``: column giving the append order (a bigint-castable column,
-    unique per key); without it the order is the input's (partition, row)
-    order.  With ``query_id``/``batch_id`` and exactly-once on, a batch that
-    was committed before is skipped (replays after a failure).
+    ``order_by``: columns giving the append order, of any ordered type; ties,
+    and rows without ``order_by``, keep the input's (partition, row) order.
+    With ``query_id``/``batch_id`` and exactly-once on, a batch that was
+    committed before is skipped (replays after a failure).
+
+    The input is evaluated once, into a staging folder; offsets are computed
+    from what was staged, so an input that changes when it is read again still
+    gives every row once. If another writer commits first, the staged rows are
+    placed again behind its tail and the commit is repeated; a truncation in
+    between only repeats the commit. The writer renews its transaction while it
+    lives; one that was not renewed within ``transaction_timeout_ms`` raises
+    TransactionTimeoutError, a null event NullEventError, and nothing is visible.
     """
     spark = df.sparkSession
     o = O.lower_keys(opts or {})
@@ -264,41 +296,107 @@ def append(df: DataFrame, root: str, scope: str, stream: str, order_by: str | li
         if not O.flag(o, O.ALLOW_CREATE_STREAM, True):
             raise StreamNotFoundError(f"stream does not exist: {scope}/{stream}")
         ensure_stream(spark, root, scope, stream, o)
-    snap = log.snapshot()
-    if exactly_once and query_id is not None and batch_id is not None and (str(query_id), int(batch_id)) in snap.batches:
+    if _committed(log.snapshot(), query_id, batch_id, exactly_once):
         return AppendResult(None, None, 0, skipped=True)
-
-    epoch, n = snap.epochs[-1]
-    x = project_for_write(df, order_by)
-    stamp = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-    x = (
-        x.withColumn("len", event_length("event"))
-        .withColumn("segment_id", segment_for_key("routing_key", n, epoch=epoch, event="event"))
-        .withColumn("append_ts", F.lit(stamp.isoformat(sep=" ")).cast("timestamp_ntz"))
-    )
-    base = {s: snap.tail.get(s, 0) for s in snap.current_segments}
-    if order_by:
-        placed = assign_offsets(x, order_by=["seq"] + order_by[1:], base=base, n_segments=n)
-        placed = placed.drop(*order_by[1:])
-    else:
-        placed = assign_offsets(x, base=base, n_segments=n).withColumn("seq", F.lit(None).cast("bigint"))
+    timeout = _timeout_ms(o, batch_id is not None)
     txn = uuid.uuid4().hex
     target = f"{data_dir(root, scope, stream)}/txn={txn}"
-    (
-        placed.select("event", "routing_key", "seq", "append_ts", "len", "offset", "segment_id")
-        .sortWithinPartitions("segment_id", "offset")
-        .write.mode("errorifexists")
-        .partitionBy("segment_id")
-        .parquet(target)
-    )
-    files, manifest, tail, rows = _extents(spark, target, f"{stream_dir(root, scope, stream)}/_manifests/{txn}")
-    if rows == 0:
-        # An empty append writes no log entry; the empty folder is vacuumed.
-        return AppendResult(None, None, 0)
-    entry = {"kind": "append", "txn": txn, "files": files, "manifest": manifest,
-             "tail": {str(k): v for k, v in tail.items()}, "rows": rows, "query_id": query_id, "batch_id": batch_id}
-    v = log.commit(snap, entry)
-    return AppendResult(v, txn, rows)
+    staging = f"{stream_dir(root, scope, stream)}/_staging/{txn}"
+    log.fs.mkdirs(target)
+    with Lease(log, txn, timeout) as lease:
+        try:
+            project_for_write(df, order_by).withColumn("len", event_length("event")).write.parquet(staging)
+            return _place_and_commit(spark, log, staging, target, lease, order_by, query_id, batch_id, exactly_once)
+        finally:
+            log.fs.delete(staging)
+
+
+class Lease:
+    """The right to commit a transaction: a record with a deadline that the
+    writer keeps moving while it lives. A writer that dies, or can't renew for
+    the whole timeout, has lost it, and ``vacuum`` may delete its folder."""
+
+    def __init__(self, log: CommitLog, txn: str, timeout_ms: int):
+        self.log, self.txn, self.timeout_ms = log, txn, timeout_ms
+        self.until, self.ended = 0, threading.Event()
+
+    def __enter__(self) -> Lease:
+        self.until = _now_ms() + self.timeout_ms
+        self.log.start_transaction(self.txn, self.until)
+        threading.Thread(target=self._keep, daemon=True).start()
+        return self
+
+    def _keep(self) -> None:
+        while not self.ended.wait(self.timeout_ms / 4000) and self.held():
+            until = _now_ms() + self.timeout_ms
+            self.log.renew_transaction(self.txn, until)
+            self.until = until
+
+    def held(self) -> bool:
+        return _now_ms() < self.until and self.log.transaction_deadline(self.txn) is not None
+
+    def __exit__(self, *_) -> None:
+        self.ended.set()
+        self.log.end_transaction(self.txn)
+
+
+def _now_ms() -> int:
+    return int(time.time() * 1000)
+
+
+def _timeout_ms(o: dict, streaming: bool) -> int:
+    default = O.DEFAULT_TRANSACTION_TIMEOUT_MS if streaming else O.DEFAULT_BATCH_TRANSACTION_TIMEOUT_MS
+    return int(o.get(O.TRANSACTION_TIMEOUT_MS, default))
+
+
+def _committed(snap: Snapshot, query_id, batch_id, exactly_once: bool) -> bool:
+    return exactly_once and query_id is not None and batch_id is not None and (str(query_id), int(batch_id)) in snap.batches
+
+
+def _place_and_commit(spark: SparkSession, log: CommitLog, staging: str, target: str, lease: Lease, order_by: list[str] | None,
+                      query_id, batch_id, exactly_once: bool) -> AppendResult:
+    """Write the staged rows behind the tail and commit; again if the tail moved."""
+    txn = lease.txn
+    staged = spark.read.parquet(staging)
+    total = staged.agg(F.count(F.lit(1)).alias("rows"), F.count("event").alias("events")).first()
+    if total["events"] < total["rows"]:
+        raise NullEventError(f"{total['rows'] - total['events']} rows have no event")
+    if not total["rows"]:
+        return AppendResult(None, None, 0)  # an empty append writes no log entry
+    order = [f"_o{i}" for i in range(len(order_by or []))] + ["_row"]
+    placed_at = None
+    while True:
+        snap = log.snapshot()
+        if _committed(snap, query_id, batch_id, exactly_once):
+            return AppendResult(None, None, 0, skipped=True)
+        epoch, n = snap.epochs[-1]
+        base = {s: snap.tail.get(s, 0) for s in snap.current_segments}
+        if placed_at != (epoch, base):
+            stamp = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+            routed = staged.withColumn("segment_id", segment_for_key("routing_key", n, epoch=epoch, event="event")).withColumn(
+                "append_ts", F.lit(stamp.isoformat(sep=" ")).cast("timestamp_ntz")
+            )
+            (
+                assign_offsets(routed, order_by=order, base=base)
+                .select("event", "routing_key", "seq", "append_ts", "len", "offset", "segment_id")
+                .sortWithinPartitions("segment_id", "offset")
+                .write.mode("overwrite")
+                .partitionBy("segment_id")
+                .parquet(target)
+            )
+            manifest_path = f"{stream_dir(log.root, log.scope, log.stream)}/_manifests/{txn}"
+            files, manifest, tail, rows = _extents(spark, target, manifest_path)
+            if rows != total["rows"]:
+                raise TransactionTimeoutError(f"transaction {txn} holds {rows} of {total['rows']} rows")
+            placed_at = (epoch, base)
+        if not lease.held():
+            raise TransactionTimeoutError(f"transaction {txn} was not renewed within its timeout; nothing was appended")
+        entry = {"kind": "append", "txn": txn, "files": files, "manifest": manifest,
+                 "tail": {str(k): v for k, v in tail.items()}, "rows": rows, "query_id": query_id, "batch_id": batch_id}
+        try:
+            return AppendResult(log.commit(snap, entry), txn, rows)
+        except ConcurrentAppendError:
+            continue
 
 
 INLINE_FILES_MAX = 20000  # beyond this many files a transaction's extents go to a Parquet manifest
@@ -319,14 +417,14 @@ def _extents(spark: SparkSession, target: str, manifest_path: str):
         for f in files:
             tail[f["segment_id"]] = max(tail.get(f["segment_id"], 0), f["hi"])
         return files, None, tail, sum(f["rows"] for f in files)
-    ext.write.mode("errorifexists").parquet(manifest_path)
+    ext.write.mode("overwrite").parquet(manifest_path)
     per = spark.read.parquet(manifest_path).groupBy("segment_id").agg(
         F.max("hi").alias("hi"), F.sum("rows").alias("rows")).collect()
     return [], manifest_path, {int(r["segment_id"]): int(r["hi"]) for r in per}, int(sum(r["rows"] for r in per))
 
 
 def _extent_row(r) -> dict:
-    return {"path": r["path"], "segment_id": int(r["segment_id"]), "lo": int(r["lo"]), "hi": int(r["hi"]),
+    return {"path": unquote(r["path"]), "segment_id": int(r["segment_id"]), "lo": int(r["lo"]), "hi": int(r["hi"]),
             "rows": int(r["rows"])}
 
 
@@ -382,8 +480,11 @@ def list_streams(spark: SparkSession, root: str, scope: str) -> DataFrame:
 def truncate(spark: SparkSession, root: str, scope: str, stream: str, cut: dict[int, int]) -> int:
     """Move the head: events before the cut are no longer visible."""
     log = CommitLog(spark, root, scope, stream)
-    snap = log.snapshot()
-    return log.commit(snap, {"kind": "truncate", "head": {str(int(k)): int(v) for k, v in cut.items()}})
+    while True:
+        try:
+            return log.commit(log.snapshot(), {"kind": "truncate", "head": {str(int(k)): int(v) for k, v in cut.items()}})
+        except ConcurrentAppendError:
+            continue  # the head only moves forward, whatever was committed before it
 
 
 def scale(spark: SparkSession, root: str, scope: str, stream: str, segments: int) -> int:
@@ -402,9 +503,9 @@ def retention_cut(spark: SparkSession, root: str, scope: str, stream: str) -> di
         return None
     events = read_events(spark, root, scope, stream, snap=snap)
     if policy.kind == "time":
-        keep = retain_by_time(events, policy.limit)
+        keep = retain_by_time(events, policy.limit, now=_dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None))
     else:
-        keep = retain_by_size(events, policy.limit)
+        keep = retain_appended(events, policy.limit)
     return {int(r["segment_id"]): int(r["position"]) for r in head_cut_frame(keep, events).collect()}
 
 
@@ -508,32 +609,46 @@ def drop_truncated(spark: SparkSession, root: str, scope: str, stream: str) -> l
 
 
 def vacuum(spark: SparkSession, root: str, scope: str, stream: str, older_than_ms: int | None = None) -> list[str]:
-    """Delete transaction folders no log entry names (aborted or timed-out
-    writes, and transactions replaced by compaction or dropped after
-    truncation) once they are older than the transaction timeout, with their
-    manifests."""
-    import time as _time
+    """Delete transaction folders that are no longer needed, with their manifests:
 
+    * aborted ones, once their lease has run out (their writer can't commit any
+      more);
+    * ones replaced by compaction or dropped after truncation, once the default
+      timeout has passed since that commit, so that readers bound before it can
+      finish (``older_than_ms`` replaces that time, and the timeout of folders
+      without a start record).
+
+    Folders are listed before the log is read, so a transaction that commits in
+    between is seen as committed.
+    """
     log = CommitLog(spark, root, scope, stream)
+    base, manifests = data_dir(root, scope, stream), f"{stream_dir(root, scope, stream)}/_manifests"
+    folders = [d[len("txn="):] for d in log.fs.list_dirs(base) if d.startswith("txn=")]
+    lists = log.fs.list_dirs(manifests)
     snap = log.snapshot()
     limit = O.DEFAULT_BATCH_TRANSACTION_TIMEOUT_MS if older_than_ms is None else int(older_than_ms)
-    now = int(_time.time() * 1000)
-    base = data_dir(root, scope, stream)
-    committed = set(snap.txns)
-    removed = []
-    for d in log.fs.list_dirs(base):
-        if not d.startswith("txn="):
-            continue
-        txn = d[len("txn="):]
+    now, committed, removed = _now_ms(), set(snap.txns), []
+    for txn in folders:
         if txn in committed:
             continue
-        if now - log.fs.modification_time_ms(f"{base}/{d}") >= limit:
-            log.fs.delete(f"{base}/{d}")
+        if txn in snap.removed:
+            until = snap.removed[txn] + limit
+        else:
+            until = log.transaction_deadline(txn)
+            if until is None:
+                until = log.fs.modification_time_ms(f"{base}/txn={txn}") + limit
+        if now >= until:
+            log.fs.delete(f"{base}/txn={txn}")
+            log.end_transaction(txn)
             removed.append(txn)
-    manifests = f"{stream_dir(root, scope, stream)}/_manifests"
-    kept = snap.manifest_txns
-    for d in log.fs.list_dirs(manifests):
-        if d not in kept and now - log.fs.modification_time_ms(f"{manifests}/{d}") >= limit:
+    gone = [t for t in removed if t in snap.removed]
+    if gone:
+        try:
+            log.commit(snap, {"kind": "vacuum", "txns": gone})
+        except ConcurrentAppendError:
+            pass  # the record stays until the next vacuum
+    for d in lists:
+        if d in removed or d not in snap.manifest_txns and d not in folders:
             log.fs.delete(f"{manifests}/{d}")
     return removed
 
