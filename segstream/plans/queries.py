@@ -177,8 +177,11 @@ def q_meta_stream_info_frame(spark, sf_dir):
 
 
 def q_meta_streams(spark, sf_dir):
-    ev = table(spark, sf_dir, "events").select(F.lit("demo").alias("scope"), F.col("event_type").alias("stream"))
-    return streams_in_scope(ev, "demo")
+    """One stream for each event type is created, then the scope is listed."""
+    root = fresh_table_root(spark, "q")
+    for r in table(spark, sf_dir, "events").select("event_type").distinct().collect():  # one row for each type
+        TB.ensure_stream(spark, root, "demo", r["event_type"])
+    return TB.list_streams(spark, root, "demo")
 
 
 # ----------------------------------------------------------------- writes
@@ -241,28 +244,45 @@ def _txn_events(spark, sf_dir) -> DataFrame:
     return li.join(od, li.l_orderkey == od.o_orderkey, "inner")
 
 
-def _place_lineitems(df: DataFrame) -> DataFrame:
-    x = df.select(
-        "l_orderkey", "l_linenumber",
-        F.col("l_orderkey").cast("string").alias("routing_key"),
-        F.concat_ws(":", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).cast("binary").alias("event"),
-        (F.col("l_orderkey") * F.lit(8) + F.col("l_linenumber")).alias("seq"),
+def q_committed_only(spark, sf_dir):
+    """The lines of status F orders are committed, those of the others fail
+    while they are written; the table is read back with its offsets."""
+    root = _commit_f_abort_others(spark, sf_dir)
+    ids = F.split(F.col("event").cast("string"), ":")
+    return TB.read_stream(spark, root, "demo", "lines").select(
+        ids[0].cast("bigint").alias("l_orderkey"), ids[1].cast("int").alias("l_linenumber"), "segment_id", "offset"
     )
-    x = x.withColumn("len", event_length("event")).withColumn("segment_id", segment_for_key("routing_key", N_SEGMENTS, event="event"))
-    return assign_offsets(x, order_by="seq", n_segments=N_SEGMENTS).select("l_orderkey", "l_linenumber", "segment_id", "offset")
 
 
-def q_committed_only(spark, sf_dir):
-    """Only events of committed (status F) transactions are visible, with offsets."""
-    return _place_lineitems(_txn_events(spark, sf_dir).where(F.col("o_orderstatus") == "F"))
+def _commit_f_abort_others(spark, sf_dir) -> str:
+    """A table root whose stream ``lines`` got one transaction for each status;
+    only that of F commits."""
+    root = fresh_table_root(spark, "q")
+    lines = _txn_events(spark, sf_dir)
+    opts = {"default_num_segments": str(N_SEGMENTS)}
+    for status in ("F", "O", "P"):
+        key = F.concat_ws(":", "l_orderkey", "l_linenumber")
+        if status != "F":  # a task fails after its first lines are written
+            key = F.when(F.col("l_linenumber") > 1, F.raise_error(F.lit("aborted"))).otherwise(key)
+        rows = lines.where(F.col("o_orderstatus") == status).select(
+            key.alias("event"), F.col("l_orderkey").cast("string").alias("routing_key"), "l_orderkey", "l_linenumber"
+        )
+        try:
+            TB.append(rows, root, "demo", "lines", order_by=["l_orderkey", "l_linenumber"], opts=opts)
+        except Exception:
+            if status == "F":
+                raise
+    return root
 
 
 def q_abort_leaves_nothing(spark, sf_dir):
-    t = _txn_events(spark, sf_dir)
-    return t.groupBy(F.col("o_orderstatus").alias("status")).agg(
-        F.count(F.lit(1)).alias("staged_events"),
-        F.sum(F.when(F.col("o_orderstatus") == "F", 1).otherwise(0)).cast("bigint").alias("visible_events"),
-    )
+    """What each status tried to append and what of it the table shows."""
+    root = _commit_f_abort_others(spark, sf_dir)
+    order = F.substring_index(F.col("event").cast("string"), ":", 1).cast("bigint")
+    status = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_orderstatus").alias("status"))
+    seen = TB.read_stream(spark, root, "demo", "lines").select(order.alias("k")).join(status, "k").groupBy("status").agg(F.count(F.lit(1)).alias("visible"))
+    tried = _txn_events(spark, sf_dir).groupBy(F.col("o_orderstatus").alias("status")).agg(F.count(F.lit(1)).alias("staged_events"))
+    return tried.join(seen, "status", "left").select("status", "staged_events", F.coalesce("visible", F.lit(0)).cast("bigint").alias("visible_events"))
 
 
 def q_expired_txns(spark, sf_dir):

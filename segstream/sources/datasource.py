@@ -45,6 +45,22 @@ def _log(o: dict):
     return CommitLog(None, _root(o), o[O.SCOPE], o[O.STREAM])
 
 
+def _existing(o: dict):
+    """The log of the stream; a missing stream is created where that is allowed."""
+    log = _log(o)
+    if log.stream_exists():
+        return log
+    if not O.flag(o, O.ALLOW_CREATE_STREAM, True):
+        raise O.OptionError(f"stream {o[O.SCOPE]}/{o[O.STREAM]} does not exist")
+    if O.flag(o, O.ALLOW_CREATE_SCOPE, True):
+        log.create_scope()
+    elif not log.scope_exists():
+        raise O.OptionError(f"scope does not exist: {o[O.SCOPE]}")
+    config = O.build_stream_config(o)
+    log.create_stream(config, config.scaling.min_segments)
+    return log
+
+
 @dataclass
 class FilePart(InputPartition):
     path: str
@@ -212,10 +228,7 @@ class SegstreamDataSource(DataSource):
 class BatchReader(DataSourceReader):
     def __init__(self, o: dict):
         self.o = o
-        log = _log(o)
-        if not log.stream_exists():
-            raise O.OptionError(f"stream {o[O.SCOPE]}/{o[O.STREAM]} does not exist")
-        self.snap = log.snapshot()  # bind positions now (planning time)
+        self.snap = _existing(o).snapshot()  # bind positions now (planning time)
         start = O.parse_position(o, O.START_STREAM_CUT, O.EARLIEST)
         end = O.parse_position(o, O.END_STREAM_CUT, O.LATEST)
         from segstream.sources.table import resolve_batch_bounds
@@ -258,6 +271,11 @@ class StreamReader(DataSourceStreamReader):
     first call.  With ``approx_bytes_per_trigger`` each batch takes the next
     cut under that budget; ``latestOffset`` never changes state, the reader
     only remembers the end of the last planned batch.
+
+    Spark fixes the end of an ``availableNow`` run with one such call and does
+    not tell a Python source about the trigger, so with a budget that run ends
+    after one batch. ``segstream.streaming.drain`` reads to the tail in batches
+    under the budget and then stops.
     """
 
     def __init__(self, o: dict):
@@ -275,7 +293,7 @@ class StreamReader(DataSourceStreamReader):
     def _resolve(self):
         if self._resolved:
             return
-        snap = self._snap()
+        snap = _existing(self.o).snapshot()
         start = O.parse_position(self.o, O.START_STREAM_CUT, O.LATEST)
         end = O.parse_position(self.o, O.END_STREAM_CUT, O.UNBOUNDED)
         if start.kind in (O.PositionKind.EARLIEST, O.PositionKind.UNBOUNDED):

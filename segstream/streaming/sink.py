@@ -49,3 +49,14 @@ def stream_to_table(df: DataFrame, root: str, scope: str, stream: str, checkpoin
     elif processing_time:
         writer = writer.trigger(processingTime=processing_time)
     return writer.start()
+
+
+def drain(query):
+    """Let a started query read everything there is, batch by batch under its
+    budget, then stop it: what ``availableNow`` does for sources that can plan
+    several batches at once. Returns the stopped query."""
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return query
