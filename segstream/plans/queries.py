@@ -13,11 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from segstream.functions.cuts import cut_from_json, cut_to_json
-from segstream.functions.routing import event_length, segment_for_key
 from segstream.operators.cuts import cut_filter, next_cut_frame
 from segstream.operators.maintain import retain_by_size, retain_by_time, scale_stream, segment_load, truncate_at
-from segstream.operators.meta import stream_info, streams_in_scope
-from segstream.operators.offsets import assign_offsets
+from segstream.operators.meta import stream_info
 from segstream.operators.order import with_key_seq
 from segstream.plans.fixture import events_stream, table
 from segstream.session import fresh_table_root
