@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import io
 import os
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +18,23 @@ TOKENIZER_DIR = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package (as ``--py-files`` would), unless
+    they inherit its place in PYTHONPATH."""
+    sc, top = spark.sparkContext, Path(__file__).resolve().parents[2]
+    paths = [Path(p or ".").resolve() for p in os.environ.get("PYTHONPATH", "").split(os.pathsep)]
+    if top in paths or getattr(sc, "_segstream_shipped", False):
+        return
+    data = io.BytesIO()
+    with zipfile.ZipFile(data, "w") as z:
+        for f in sorted((top / "segstream").rglob("*.py")):
+            z.write(f, f.relative_to(top).as_posix())
+    sc.addPyFile(write_shared(spark, f"{fresh_folder(spark, 'package')}/segstream-{uuid.uuid4().hex}.zip", data.getvalue()))
+    sc._segstream_shipped = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
