@@ -131,12 +131,12 @@ def filter_documents(docs: DataFrame, max_docs: int = 20, min_left: float = 0.3)
     """The kept rows of ``docs`` with their frequent lines removed; same columns.
     A numeric ``n_chars`` column is measured again."""
     verdicts = judged(docs, max_docs, min_left).where("kept").select("doc_id", "text_hash", "host", "removed").dropDuplicates(["doc_id", "text_hash", "host"])
-    v = verdicts.select(*[F.col(c).alias(f"v_{c}") for c in verdicts.columns])
+    v = verdicts.toDF("__llm_id", "__llm_hash", "__llm_host", "__llm_removed")
     body, host = F.coalesce(F.col("text"), F.lit("")), F.coalesce(F.col("source"), F.lit(""))
-    same = F.col("doc_id").eqNullSafe(F.col("v_doc_id")) & (F.xxhash64(body) == F.col("v_text_hash")) & (host == F.col("v_host"))
-    stay = F.filter(F.split("text", "\n"), lambda x: ~F.array_contains("v_removed", line_hash(x)))
-    text = F.when(F.col("v_removed").isNull(), F.col("text")).otherwise(F.array_join(stay, "\n"))
+    same = F.col("doc_id").eqNullSafe(F.col("__llm_id")) & (F.xxhash64(body) == F.col("__llm_hash")) & (host == F.col("__llm_host"))
+    stay = F.filter(F.split("text", "\n"), lambda x: ~F.array_contains("__llm_removed", line_hash(x)))
+    text = F.when(F.col("__llm_removed").isNull(), F.col("text")).otherwise(F.array_join(stay, "\n"))
     out = docs.join(v, same).withColumn("text", text)
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("v_removed").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long")))
+        out = out.withColumn("n_chars", F.when(F.col("__llm_removed").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long")))
     return out.select(*docs.columns)
