@@ -9,7 +9,6 @@ import pytest
 
 from segstream.llm import ann, attention, toxicity
 from segstream.llm.queries import op8_kmeans_tree
-from segstream.llm.tokens import encoder
 
 SF = "/root/testdata/sf0.001"
 
@@ -38,19 +37,20 @@ def same_rows(got, want):
 
 def test_scores_of_odd_rows(docs, no_docs):
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
-    got = attention.score_texts(docs, common=50, fit_steps=5, classes=16).collect()  # most words go through the join
+    got = attention.score_texts(docs, common=50, fit_steps=5, groups=8).collect()  # most words go through the join
     same_rows(got, base_by_hand(rows))
     assert attention.score_texts(no_docs, fit_steps=2).collect() == []
-    alone = attention.score_texts(docs.where("doc_id = 4"), fit_steps=2, classes=16).collect()
+    alone = attention.score_texts(docs.where("doc_id = 4"), fit_steps=2, groups=8).collect()
     assert len(alone) == 1 and alone[0]["n_tokens"] == 1
 
 
 @pytest.fixture(scope="module")
 def fitted(spark):
     texts = [r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").collect()]
-    ids = attention.encoded(encoder("byte_bpe_50k.json"), texts, 50256)
+    e = attention.WordEncoder("byte_bpe_50k.json", keep=500)
+    ids = [x.astype(int) for x in e.words([attention.words_of(t) for t in texts], np.array(50256, e.dtype).tobytes())]
     counts = np.bincount(np.concatenate(ids[:150]), minlength=50257)
-    model = attention.Model(counts, ids[:150], 64, 50256)
+    model = attention.Model(counts, ids[:150], 16, 50256)
     untrained = model.score(ids[150:], model.table()).sum()
     model.train(ids[:150], 150, batch=128)
     return model, ids, counts, untrained
