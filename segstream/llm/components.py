@@ -23,21 +23,22 @@ def _stars(arcs: DataFrame, least: str) -> DataFrame:
     return joined.select(F.col("v").alias("u"), F.col("m").alias("v")).union(smallest.select("u", F.col("m").alias("v")))
 
 
+def checksum(pairs: DataFrame) -> tuple:
+    return tuple(pairs.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root): every node of ``edges`` (a, b) with the smallest node of
     its component; the two columns may have any ordered type."""
     pairs = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where(F.col("u") != F.col("v"))
     pairs = cut_lineage(pairs.distinct())
-    before = None
-    while True:
+    before, now = None, checksum(pairs)
+    while now != before and now[0]:
         both = pairs.union(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _stars(both, "large").where(F.col("u") != F.col("v")).distinct()
         small = _stars(large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")), "small")
         pairs = cut_lineage(small.where(F.col("u") != F.col("v")).distinct())
-        sums = pairs.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if not sums[0] or tuple(sums) == before:
-            break
-        before = tuple(sums)
+        before, now = now, checksum(pairs)
     return pairs.select(F.col("u").alias("node"), F.col("v").alias("root")).union(
         pairs.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     )

@@ -7,11 +7,16 @@
 3. Candidates are met star by star: a bucket's members are compared with a few
    pivots, never all with all. Members that became connected need no further
    comparison; while a bucket holds unconnected members that were not compared,
-   it gets more pivots (four times as many each round), so no candidate pair is
+   it gets more pivots (sixteen times as many each round), so no candidate pair is
    lost and a large group of near copies costs one comparison a member.
-4. A comparison reads signatures in batches. With a uniform prior and m of n
-   values equal, the similarity is Beta(m + 1, n - m + 1); a pair goes when the
-   posterior probability of reaching the threshold falls under ``miss``.
+   The first round looks at the buckets of two bands alone, which joins most
+   large groups before the other bands are looked at.
+4. A comparison reads signatures in batches. The first batch, one bit of each
+   value, and the set sizes are compared where members and pivots are joined,
+   so most pairs that are not alike are never made. Then whole values follow:
+   with a uniform prior and m of n equal, the similarity is Beta(m + 1,
+   n - m + 1); a pair goes when the posterior probability of reaching the
+   threshold falls under ``miss``.
 5. Survivors are verified on their full shingle sets; only those are links.
    Components of links come from ``components``, round by round on components
    already found.
@@ -34,11 +39,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from segstream.llm.common import cut_lineage
+from segstream.llm.common import cut_lineage, fresh_folder
 from segstream.llm.components import components
 
 ROWS = 5  #: signature values in a band
 STEP = 20  #: signature values compared at a time
+BITS = 60  #: one-bit values in a long
+FIRST_BANDS = 2  #: bands of the first round
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -93,6 +100,24 @@ def fewest_matches(n: int, threshold: float, miss: float) -> int:
         m += 1
 
 
+def most_unequal_bits(n: int, threshold: float, miss: float) -> int:
+    """The most of n one-bit values that may differ: a pair at the threshold
+    differs in more with a probability under ``miss``."""
+    differ = (1 - threshold) / 2
+    m, above = 0, 1 - (1 - differ) ** n
+    while above >= miss:
+        m += 1
+        above -= math.comb(n, m) * differ**m * (1 - differ) ** (n - m)
+    return m
+
+
+def bits(sig: np.ndarray) -> tuple[int, int]:
+    """The lowest bits of the first values, BITS in each of two numbers."""
+    low = (sig[: 2 * BITS] & np.uint32(1)).astype(np.uint8)
+    halves = [np.packbits(low[at : at + BITS], bitorder="little").tobytes() for at in (0, BITS)]
+    return int.from_bytes(halves[0], "little"), int.from_bytes(halves[1], "little")
+
+
 def survivors(a: np.ndarray, b: np.ndarray, threshold: float, miss: float) -> np.ndarray:
     """Indices of the pairs (rows of two signature matrices) that stay."""
     alive, equal = np.arange(len(a)), np.zeros(len(a), np.int64)
@@ -110,24 +135,30 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 
 
 def describe(docs: DataFrame, k: int, hashes: int) -> DataFrame:
-    """(doc_id, row, key, n_shingles, sig) of each row; key and sig are null
-    where there is no shingle."""
+    """(doc_id, row, key, n_shingles, sig, b0, b1) of each row; key, sig and its
+    bits are null where there is no shingle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         family = hash_family(hashes)
         for batch in batches:
-            keys, sizes, sigs = [], [], []
+            keys, sizes, sigs, low = [], [], [], []
             for text in batch["text"]:
                 s = shingle_set(text.as_py(), k)
                 sizes.append(len(s))
                 keys.append(class_key(s) if len(s) else None)
-                sigs.append(signature(s, family).tobytes() if len(s) else None)
+                sig = signature(s, family) if len(s) else None
+                sigs.append(None if sig is None else sig.tobytes())
+                low.append((None, None) if sig is None else bits(sig))
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], batch["row"], pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), pa.array(sigs, pa.binary())],
-                ["doc_id", "row", "key", "n_shingles", "sig"],
+                [batch["doc_id"], batch["row"], pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), pa.array(sigs, pa.binary())]
+                + [pa.array([x[i] for x in low], pa.int64()) for i in (0, 1)],
+                ["doc_id", "row", "key", "n_shingles", "sig", "b0", "b1"],
             )
 
-    return with_row(docs).mapInArrow(run, "doc_id long, row long, key binary, n_shingles long, sig binary")
+    return with_row(docs).mapInArrow(run, "doc_id long, row long, key binary, n_shingles long, sig binary, b0 long, b1 long")
+
+
+SIDE = ("key", "n_shingles", "b0", "b1")
 
 
 def with_row(docs: DataFrame) -> DataFrame:
@@ -136,15 +167,16 @@ def with_row(docs: DataFrame) -> DataFrame:
 
 
 def bucket_members(classes: DataFrame, bands: int) -> DataFrame:
-    """(bucket, key) of the buckets with more than one class."""
+    """(bucket, early, key, n_shingles, b0, b1) of the buckets with more than one
+    class; ``early`` tells the bands of the first round."""
     width = 4 * ROWS
     hashed = F.array(*[F.xxhash64(F.substring("sig", i * width + 1, width), F.lit(i)) for i in range(bands)])
-    rows = classes.select("key", F.explode(hashed).alias("bucket"))
+    rows = classes.select(*SIDE, F.posexplode(hashed).alias("band", "bucket")).withColumn("early", F.col("band") < FIRST_BANDS).drop("band")
     shared = rows.groupBy("bucket").agg(F.min("key").alias("lo"), F.max("key").alias("hi")).where(F.col("lo") != F.col("hi")).select("bucket")
     return rows.join(shared, "bucket")
 
 
-def prune(pairs: DataFrame, classes: DataFrame, threshold: float, miss: float) -> DataFrame:
+def prune(pairs: DataFrame, chosen: DataFrame, threshold: float, miss: float) -> DataFrame:
     """Pairs (a, b) that the signatures don't rule out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,18 +185,26 @@ def prune(pairs: DataFrame, classes: DataFrame, threshold: float, miss: float) -
                 sides = [np.frombuffer(b"".join(batch[c].to_pylist()), "<u4").reshape(batch.num_rows, -1) for c in ("sa", "sb")]
                 yield batch.select(["a", "b"]).take(pa.array(survivors(*sides, threshold, miss)))
 
-    sig_a, sig_b = (classes.select(F.col("key").alias(x), F.col("sig").alias(f"s{x}")) for x in "ab")
+    sig_a, sig_b = (chosen.select(F.col("key").alias(x), F.col("sig").alias(f"s{x}")) for x in "ab")
     return pairs.join(sig_a, "a").join(sig_b, "b").mapInArrow(run, "a binary, b binary")
 
 
-def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """Pairs (a, b) whose full shingle sets reach the threshold. Only texts of
-    classes in ``pairs`` move; each side keeps its last set, for runs of equals."""
-    wanted = pairs.select(F.col("a").alias("key")).union(pairs.select(F.col("b").alias("key"))).distinct()
-    source = classes.join(wanted, "key").select("key", F.col("doc_id").alias("c_id"), F.col("row").alias("c_row"))
+def candidates(members: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(key, sig, text) of the classes in shared buckets, written once: the only
+    time that texts of all documents may be shuffled."""
+    spark = docs.sparkSession
+    wanted = classes.join(members.select("key").distinct(), "key").select("key", "sig", F.col("doc_id").alias("c_id"), F.col("row").alias("c_row"))
     rows = with_row(docs)
-    texts = rows.join(source, (rows["row"] == F.col("c_row")) & rows["doc_id"].eqNullSafe(F.col("c_id"))).dropDuplicates(["key"]).select("key", "text")
-    text_a, text_b = (texts.select(F.col("key").alias(x), F.col("text").alias(f"t{x}")) for x in "ab")
+    found = rows.join(wanted, (rows["row"] == F.col("c_row")) & rows["doc_id"].eqNullSafe(F.col("c_id"))).dropDuplicates(["key"])
+    folder = fresh_folder(spark, "candidates")
+    found.select("key", "sig", "text").write.parquet(folder)
+    return spark.read.schema("key binary, sig binary, text string").parquet(folder)
+
+
+def verify(pairs: DataFrame, chosen: DataFrame, k: int, percent: int) -> DataFrame:
+    """Pairs (a, b) whose full shingle sets reach the threshold. Each side keeps
+    its last set, for runs of equals."""
+    text_a, text_b = (chosen.select(F.col("key").alias(x), F.col("text").alias(f"t{x}")) for x in "ab")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last: dict[str, tuple] = {"a": (None, None), "b": (None, None)}
@@ -182,26 +222,33 @@ def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, percen
     return pairs.join(text_a, "a").join(text_b, "b").mapInArrow(run, "a binary, b binary")
 
 
-def next_pairs(members: DataFrame, pivots_each: int) -> tuple[DataFrame, DataFrame]:
+def next_pairs(members: DataFrame, pivots_each: int, percent: int, bits_apart: int) -> tuple[DataFrame, DataFrame]:
     """Pairs (a, b) of this round's pivots with members of other components in
-    their buckets, and the pivots (bucket, key). ``members``: bucket, key, root."""
+    their buckets, unless sizes or bits rule them out, and the pivots (bucket,
+    key)."""
     slot = F.pmod(F.xxhash64("key"), F.lit(pivots_each))
-    pivots = members.groupBy("bucket", slot.alias("slot")).agg(F.min(F.struct("key", "root")).alias("p"))
-    pivots = pivots.select("bucket", F.col("p.key").alias("pivot"), F.col("p.root").alias("pivot_root"))
-    met = members.join(pivots, "bucket").where(F.col("root") != F.col("pivot_root"))
+    pivots = members.groupBy("bucket", slot.alias("slot")).agg(F.min(F.struct(*SIDE, "root")).alias("p"))
+    pivots = pivots.select("bucket", F.col("p.key").alias("pivot"), *[F.col(f"p.{c}").alias(f"p_{c}") for c in (*SIDE[1:], "root")])
+    apart = F.bit_count(F.col("b0").bitwiseXOR(F.col("p_b0"))) + F.bit_count(F.col("b1").bitwiseXOR(F.col("p_b1")))
+    close = 100 * F.least("n_shingles", "p_n_shingles") >= percent * F.greatest("n_shingles", "p_n_shingles")
+    on = (members["bucket"] == pivots["bucket"]) & (F.col("root") != F.col("p_root")) & close & (apart <= bits_apart)
+    met = members.join(pivots, on)
     pairs = met.select(F.greatest("key", "pivot").alias("a"), F.least("key", "pivot").alias("b")).distinct()
     return pairs, pivots.select("bucket", F.col("pivot").alias("key"))
 
 
 def link_classes(docs: DataFrame, classes: DataFrame, k: int, percent: int, bands: int, miss: float) -> DataFrame | None:
     """(key, root) of classes in shared buckets; None if there are none."""
+    bits_apart = most_unequal_bits(min(2 * BITS, bands * ROWS), percent / 100, miss)
     members = cut_lineage(bucket_members(classes, bands).withColumn("root", F.col("key")))
-    roots, pivots_each = None, 1
-    while not members.isEmpty():
-        pairs, pivots = next_pairs(members, pivots_each)
-        close = cut_lineage(prune(pairs, classes, percent / 100, miss))
-        links = verify(close, classes, docs, k, percent)
-        known = members.select("key", "root").distinct() if roots is None else roots
+    if members.isEmpty():
+        return None
+    chosen = candidates(members, classes, docs)
+    roots, pivots_each, early = None, 1, True
+    while early or not members.isEmpty():
+        pairs, pivots = next_pairs(members.where("early") if early else members, pivots_each, percent, bits_apart)
+        links = verify(prune(pairs, chosen, percent / 100, miss), chosen, k, percent)
+        known = chosen.select("key", F.col("key").alias("root")) if roots is None else roots
         ends = links.join(known.select(F.col("key").alias("a"), F.col("root").alias("ra")), "a").join(
             known.select(F.col("key").alias("b"), F.col("root").alias("rb")), "b"
         )
@@ -210,11 +257,11 @@ def link_classes(docs: DataFrame, classes: DataFrame, k: int, percent: int, band
             known.join(moved, known["root"] == moved["node"], "left").select("key", F.coalesce(moved["root"], known["root"]).alias("root"))
         )
         # whoever was a pivot has met its whole bucket; a bucket is done when the rest is one component
-        rest = members.join(pivots, ["bucket", "key"], "left_anti").select("bucket", "key").join(roots, "key")
-        rest = cut_lineage(rest)
+        rest = members.join(pivots, ["bucket", "key"], "left_anti").drop("root").join(roots, "key")
         mixed = rest.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where(F.col("lo") != F.col("hi")).select("bucket")
         members = cut_lineage(rest.join(mixed, "bucket"))
-        pivots_each *= 4
+        pivots_each = 1 if early else 16 * pivots_each
+        early = False
     return roots
 
 
@@ -222,7 +269,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, miss: float
     """(doc_id, row, n_shingles, component_id, kept) of each row of ``docs``."""
     bands = bands_for(percent / 100, miss)
     base = cut_lineage(describe(docs, k, bands * ROWS))
-    classes = cut_lineage(base.where("key IS NOT NULL").dropDuplicates(["key"]).select("key", "doc_id", "row", "sig"))
+    classes = cut_lineage(base.where("key IS NOT NULL").dropDuplicates(["key"]).select(*SIDE, "doc_id", "row", "sig"))
     roots = link_classes(docs, classes, k, percent, bands, miss)
     first = base.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("first"))
     if roots is None:
@@ -242,11 +289,11 @@ def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80, miss: float = 1e
     only if their whole component has none, one for each text."""
     found = near_duplicates(docs, k, percent, miss)
     lone = F.col("component_id").isNull() & F.col("doc_id").isNull()
-    chosen = found.where(F.col("kept") | lone).select(F.col("doc_id").alias("k_id"), F.col("row").alias("k_row"))
+    chosen = found.where(F.col("kept") | lone).select(F.col("doc_id").alias("__llm_id"), F.col("row").alias("__llm_k_row"))
     # equal rows, then rows that share the id, come down to one
-    chosen = chosen.dropDuplicates(["k_id", "k_row"])
-    with_id = chosen.where("k_id IS NOT NULL").groupBy("k_id").agg(F.min("k_row").alias("k_row"))
-    chosen = with_id.unionByName(chosen.where("k_id IS NULL"))
-    keyed = docs.withColumn("__row", F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")))
-    same = (F.col("__row") == F.col("k_row")) & F.col("doc_id").eqNullSafe(F.col("k_id"))
-    return keyed.join(chosen, same).dropDuplicates(["doc_id", "__row"]).select(*docs.columns)
+    chosen = chosen.dropDuplicates(["__llm_id", "__llm_k_row"])
+    with_id = chosen.where("__llm_id IS NOT NULL").groupBy("__llm_id").agg(F.min("__llm_k_row").alias("__llm_k_row"))
+    chosen = with_id.unionByName(chosen.where("__llm_id IS NULL"))
+    keyed = docs.withColumn("__llm_row", F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")))
+    same = (F.col("__llm_row") == F.col("__llm_k_row")) & F.col("doc_id").eqNullSafe(F.col("__llm_id"))
+    return keyed.join(chosen, same).dropDuplicates(["doc_id", "__llm_row"]).select(*docs.columns)
