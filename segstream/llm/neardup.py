@@ -265,35 +265,41 @@ def link_classes(docs: DataFrame, classes: DataFrame, k: int, percent: int, band
     return roots
 
 
-def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, miss: float = 1e-5) -> DataFrame:
-    """(doc_id, row, n_shingles, component_id, kept) of each row of ``docs``."""
+def with_components(docs: DataFrame, k: int, percent: int, miss: float) -> DataFrame:
+    """(doc_id, row, n_shingles, root, component_id) of each row of ``docs``;
+    ``root`` names the component and is null where there is no shingle."""
     bands = bands_for(percent / 100, miss)
     base = cut_lineage(describe(docs, k, bands * ROWS))
     classes = cut_lineage(base.where("key IS NOT NULL").dropDuplicates(["key"]).select(*SIDE, "doc_id", "row", "sig"))
     roots = link_classes(docs, classes, k, percent, bands, miss)
     first = base.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("first"))
     if roots is None:
-        of_class = first.select("key", F.col("first").alias("component_id"))
+        of_class = first.select("key", F.col("key").alias("root"), F.col("first").alias("component_id"))
     else:
         rooted = first.join(roots, "key", "left").select("key", "first", F.coalesce("root", "key").alias("root"))
         least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-        of_class = rooted.join(least, "root").select("key", "component_id")
+        of_class = rooted.join(least, "root").select("key", "root", "component_id")
     out = base.select("doc_id", "row", "key", "n_shingles").join(of_class, "key", "left")
     found = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", "row", "n_shingles", found.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
+    return out.select("doc_id", "row", "n_shingles", "root", found.alias("component_id"))
+
+
+def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, miss: float = 1e-5) -> DataFrame:
+    """(doc_id, row, n_shingles, component_id, kept) of each row of ``docs``."""
+    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))
+    return with_components(docs, k, percent, miss).drop("root").withColumn("kept", kept)
 
 
 def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80, miss: float = 1e-5) -> DataFrame:
-    """``docs`` with one row of each component; same columns. Where rows repeat
-    a doc_id within a component one of them stays; rows without a doc_id stay
-    only if their whole component has none, one for each text."""
-    found = near_duplicates(docs, k, percent, miss)
-    lone = F.col("component_id").isNull() & F.col("doc_id").isNull()
-    chosen = found.where(F.col("kept") | lone).select(F.col("doc_id").alias("__llm_id"), F.col("row").alias("__llm_k_row"))
-    # equal rows, then rows that share the id, come down to one
-    chosen = chosen.dropDuplicates(["__llm_id", "__llm_k_row"])
-    with_id = chosen.where("__llm_id IS NOT NULL").groupBy("__llm_id").agg(F.min("__llm_k_row").alias("__llm_k_row"))
-    chosen = with_id.unionByName(chosen.where("__llm_id IS NULL"))
+    """``docs`` with one row of each component; same columns. It is one with the
+    component's smallest doc_id, which another component may have, too. A row
+    without a doc_id stays only if its whole component has none; rows without
+    a shingle stay, equal ones once."""
+    found = with_components(docs, k, percent, miss).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    ends = F.struct(F.col("doc_id").alias("id"), "row")
+    of_root = found.where("root IS NOT NULL").groupBy("root").agg(F.min(ends).alias("c")).select("c.id", "c.row")
+    bare = found.where("root IS NULL").select(F.col("doc_id").alias("id"), "row").distinct()
+    chosen = of_root.unionByName(bare).toDF("__llm_id", "__llm_k_row")
     keyed = docs.withColumn("__llm_row", F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")))
     same = (F.col("__llm_row") == F.col("__llm_k_row")) & F.col("doc_id").eqNullSafe(F.col("__llm_id"))
     return keyed.join(chosen, same).dropDuplicates(["doc_id", "__llm_row"]).select(*docs.columns)
