@@ -35,12 +35,18 @@ def word_list(text: Column) -> Column:
 
 
 def line_hash(line: Column) -> Column:
-    """Case, white space and digits do not tell lines apart."""
-    return F.xxhash64(F.trim(F.regexp_replace(F.lower(line), r"[\x20\x09-\x0D0-9]+", " ")))
+    """Case, white space and digits do not tell lines apart; digits do where a
+    line has no letters."""
+    lettered = F.trim(F.regexp_replace(F.lower(line), r"[\x20\x09-\x0D0-9]+", " "))
+    return F.xxhash64(F.when(line.rlike(r"\p{L}"), lettered).otherwise(F.trim(F.regexp_replace(line, SPACE, " "))))
+
+
+def has_word(line: Column) -> Column:
+    return line.rlike(r"[^\x20\x09-\x0D]")
 
 
 def worded_lines(text: Column) -> Column:
-    return F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
+    return F.filter(F.split(text, "\n"), has_word)
 
 
 def with_repeats(df: DataFrame) -> DataFrame:
@@ -134,7 +140,7 @@ def filter_documents(docs: DataFrame, max_docs: int = 20, min_left: float = 0.3)
     v = verdicts.toDF("__llm_id", "__llm_hash", "__llm_host", "__llm_removed")
     body, host = F.coalesce(F.col("text"), F.lit("")), F.coalesce(F.col("source"), F.lit(""))
     same = F.col("doc_id").eqNullSafe(F.col("__llm_id")) & (F.xxhash64(body) == F.col("__llm_hash")) & (host == F.col("__llm_host"))
-    stay = F.filter(F.split("text", "\n"), lambda x: ~F.array_contains("__llm_removed", line_hash(x)))
+    stay = F.filter(F.split("text", "\n"), lambda x: ~has_word(x) | ~F.array_contains("__llm_removed", line_hash(x)))
     text = F.when(F.col("__llm_removed").isNull(), F.col("text")).otherwise(F.array_join(stay, "\n"))
     out = docs.join(v, same).withColumn("text", text)
     if "n_chars" in docs.columns:
