@@ -10,7 +10,7 @@ from segstream.operators.cuts import segment_ranges
 from segstream.sources import table as TB
 from segstream.sources.log import CommitLog
 
-from conftest import segment_of
+from stream_helpers import segment_of
 
 
 class Model:

@@ -36,7 +36,7 @@ SCRIPT = textwrap.dedent(r'''
 
 
 def test_append_survives_task_retries(tmp_path):
-    from conftest import segment_of
+    from stream_helpers import segment_of
 
     repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     out = subprocess.run([sys.executable, "-c", SCRIPT, repo, str(tmp_path)], capture_output=True, text=True,

@@ -10,7 +10,7 @@ from segstream.sources.datasource import register
 from segstream.sources.log import CommitLog
 from segstream.streaming.sink import stream_to_table
 
-from conftest import keys_for_segments
+from stream_helpers import keys_for_segments
 
 
 def _append(spark, root, values, key=None, segments="3"):

@@ -5,7 +5,7 @@ from segstream.sources import table as TB
 from segstream.sources.datasource import register
 from segstream.sources.log import CommitLog
 
-from conftest import keys_for_segments
+from stream_helpers import keys_for_segments
 
 
 def _vals(df):
