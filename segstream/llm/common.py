@@ -74,3 +74,20 @@ def write_shared(spark: SparkSession, uri: str, data: bytes) -> str:
     finally:
         out.close()
     return uri
+
+
+def delete_shared(spark: SparkSession, uri: str) -> None:
+    """Delete a folder of this module's making, if it is there."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(uri)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def settle(df: DataFrame, label: str, *scratch: str) -> DataFrame:
+    """``df`` written to a new folder and read back, after which the ``scratch``
+    folders that it was made from are deleted."""
+    spark = df.sparkSession
+    folder = fresh_folder(spark, label)
+    df.write.parquet(folder)
+    for uri in scratch:
+        delete_shared(spark, uri)
+    return spark.read.schema(df.schema).parquet(folder)
