@@ -82,12 +82,17 @@ def delete_shared(spark: SparkSession, uri: str) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def written(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """``df`` written to a new folder and read back, and the folder."""
+    folder = fresh_folder(df.sparkSession, label)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder), folder
+
+
 def settle(df: DataFrame, label: str, *scratch: str) -> DataFrame:
     """``df`` written to a new folder and read back, after which the ``scratch``
     folders that it was made from are deleted."""
-    spark = df.sparkSession
-    folder = fresh_folder(spark, label)
-    df.write.parquet(folder)
+    out, _ = written(df, label)
     for uri in scratch:
-        delete_shared(spark, uri)
-    return spark.read.schema(df.schema).parquet(folder)
+        delete_shared(df.sparkSession, uri)
+    return out

@@ -47,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from segstream.llm.common import fresh_folder, settle
+from segstream.llm.common import settle, written
 
 SCALE = 1_000_000_000
 MIN_DOCS = 3
@@ -102,14 +102,20 @@ def grouped(docs: DataFrame) -> DataFrame:
 
 
 def held_terms(docs: DataFrame, min_docs: int) -> DataFrame:
-    """(lang, source, term, c, total): counts of kept terms in the groups that
-    hold them and in the language."""
+    """(lang, source, term, c, total, first): counts of kept terms in the groups
+    that hold them and in the language; ``first`` marks one row of each term."""
     counts = count_terms(docs).groupBy("lang", "source", "term").agg(F.sum("n").alias("c"), F.sum("d").alias("d"))
     by_term = counts.groupBy("lang", "term").agg(
         F.sum("c").alias("total"), F.sum("d").alias("d"), F.collect_list(F.struct("source", "c")).alias("groups")
     )
-    kept = by_term.where(F.col("d") >= min_docs).select("lang", "term", "total", F.explode("groups").alias("g"))
-    return kept.select("lang", "g.source", "term", "g.c", "total")
+    kept = by_term.where(F.col("d") >= min_docs).select("lang", "term", "total", F.posexplode("groups").alias("at", "g"))
+    return kept.select("lang", "g.source", "term", "g.c", "total", (F.col("at") == 0).alias("first"))
+
+
+def count_cells(held: DataFrame) -> DataFrame:
+    """(lang, source, c, total, m, heads): the number of terms of each cell, and
+    how many of them are the first of their rows."""
+    return held.groupBy("lang", "source", "c", "total").agg(F.count(F.lit(1)).alias("m"), F.count_if("first").alias("heads"))
 
 
 def share(count: Column, n: Column, kept: Column) -> Column:
@@ -123,23 +129,21 @@ def excess(p: Column, q: Column) -> Column:
     return F.call_function("div", (p - q) * (p - q), q)
 
 
-def group_table(docs: DataFrame, held: DataFrame) -> DataFrame:
+def group_table(docs: DataFrame, cells: DataFrame) -> DataFrame:
     """(lang, source, n, kept, lang_n): of each occurring group the sum of its
     kept terms' counts, and of its language the number and sum of kept terms."""
     groups = grouped(docs).select("lang", "source").distinct()
-    sums = held.groupBy("lang", "source").agg(F.sum("c").alias("n"))
-    terms = held.select("lang", "term", "total").distinct()
-    langs = terms.groupBy("lang").agg(F.count(F.lit(1)).alias("kept"), F.sum("total").alias("lang_n"))
+    sums = cells.groupBy("lang", "source").agg(F.sum(F.col("c") * F.col("m")).alias("n"))
+    langs = cells.groupBy("lang").agg(F.sum("heads").alias("kept"), F.sum(F.col("heads") * F.col("total")).alias("lang_n"))
     out = groups.join(sums, ["lang", "source"], "left").join(langs, "lang", "left")
     return out.select("lang", "source", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("n", "kept", "lang_n")])
 
 
-def term_report(held: DataFrame, groups: DataFrame, top: int) -> DataFrame:
+def term_report(held: DataFrame, cells: DataFrame, groups: DataFrame, top: int) -> DataFrame:
     """(lang, source, item, value, rank) of the terms a source overuses."""
     cell = ["lang", "source", "c", "total"]
     p, q = share(F.col("c"), F.col("n"), F.col("kept")), share(F.col("total"), F.col("lang_n"), F.col("kept"))
-    cells = held.groupBy(*cell).agg(F.count(F.lit(1)).alias("m")).join(groups, ["lang", "source"])
-    cells = cells.withColumn("p", p).withColumn("q", q).where("p > q").select(*cell, "m", excess(F.col("p"), F.col("q")).alias("value"))
+    cells = cells.join(groups, ["lang", "source"]).withColumn("p", p).withColumn("q", q).where("p > q").select(*cell, "m", excess(F.col("p"), F.col("q")).alias("value"))
     best = Window.partitionBy("lang", "source").orderBy(F.desc("value"))
     ranked = cells.groupBy("lang", "source", "value").agg(F.sum("m").alias("m")).withColumn("place", F.row_number().over(best)).where(F.col("place") <= top)
     before = F.sum("m").over(best.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("m")
@@ -206,17 +210,17 @@ def pair_sums(vectors: DataFrame) -> DataFrame:
     return vectors.mapInArrow(run, "lang string, a string, b string, value long")
 
 
-def pair_report(held: DataFrame, groups: DataFrame) -> DataFrame:
+def pair_report(held: DataFrame, cells: DataFrame, groups: DataFrame) -> DataFrame:
     """(lang, source, item, value, rank) of each source against the others."""
     size = groups.select("lang", "source", (F.col("n") + F.col("kept")).alias("total"))
-    vectors = held.drop("total").join(size, ["lang", "source"]).groupBy("lang", "term").agg(F.collect_list(F.struct("source", "c", "total")).alias("groups"))
+    vectors = held.drop("total", "first").join(size, ["lang", "source"]).groupBy("lang", "term").agg(F.collect_list(F.struct("source", "c", "total")).alias("groups"))
     shared = pair_sums(vectors.where(F.size("groups") > 1)).groupBy("lang", "a", "b").agg(F.sum(F.col("value").cast("decimal(38,0)")).alias("shared"))
     a = groups.select("lang", F.col("source").alias("a"), F.col("n").alias("n_a"), "kept")
     b = groups.select("lang", F.col("source").alias("b"), F.col("n").alias("n_b"))
     pairs = a.join(b, "lang").where(F.col("a") != F.col("b"))
     none = F.lit(0).cast("long")
     p0, q0 = share(none, F.col("n_a"), F.col("kept")), share(none, F.col("n_b"), F.col("kept"))
-    histogram = held.groupBy("lang", "source", "c").agg(F.count(F.lit(1)).alias("m"))
+    histogram = cells.groupBy("lang", "source", "c").agg(F.sum("m").alias("m"))
 
     def one_sided(side: str) -> DataFrame:
         """Of each pair, the terms that ``side`` holds as if the other had none."""
@@ -238,12 +242,10 @@ def pair_report(held: DataFrame, groups: DataFrame) -> DataFrame:
 
 def divergence(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP) -> DataFrame:
     """(lang, source, part, item, value, rank): both reports."""
-    spark = docs.sparkSession
-    folder = fresh_folder(spark, "terms")
-    held_terms(docs, min_docs).write.parquet(folder)
-    held = spark.read.schema("lang string, source string, term binary, c long, total long").parquet(folder)
-    groups = group_table(docs, held)
+    held, terms_folder = written(held_terms(docs, min_docs), "terms")
+    cells, cells_folder = written(count_cells(held), "cells")
+    groups, groups_folder = written(group_table(docs, cells), "groups")
     columns = ("lang", "source", "part", "item", "value", "rank")
-    terms = term_report(held, groups, top).withColumn("part", F.lit("term")).select(*columns)
-    pairs = pair_report(held, groups).withColumn("part", F.lit("pair")).select(*columns)
-    return settle(pairs.unionByName(terms), "divergence", folder)
+    terms = term_report(held, cells, groups, top).withColumn("part", F.lit("term")).select(*columns)
+    pairs = pair_report(held, cells, groups).withColumn("part", F.lit("pair")).select(*columns)
+    return settle(pairs.unionByName(terms), "divergence", terms_folder, cells_folder, groups_folder)

@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from segstream.llm.common import fresh_folder, settle
+from segstream.llm.common import settle, written
 
 #: What edits cost.
 REROLE, DELETE, INSERT, TRUNCATED = 3, 4, 3, 3
@@ -233,18 +233,13 @@ def damaged(rows: DataFrame) -> DataFrame:
     return changed.drop("col")
 
 
-def in_order(rows: DataFrame) -> DataFrame:
+def in_order(rows: DataFrame) -> tuple[DataFrame, str]:
     """Rows written in (conversation, turn, role, text) order, with ``pos``
-    rising in that order and ``chunk`` the pos that its chunk begins at."""
-    spark = rows.sparkSession
+    rising in that order and ``chunk`` the pos that its chunk begins at; and their folder."""
     keyed = rows.withColumn("digest", F.md5(F.col("text").cast("binary"))).withColumn("salt", F.monotonically_increasing_id())
     keys = [F.col(c).asc_nulls_first() for c in ("conv_id", "turn", "role", "digest", "salt")]
     sorted_rows = keyed.repartitionByRange(*keys).sortWithinPartitions(*keys).drop("salt")
-    pos = F.monotonically_increasing_id()
-    folder = fresh_folder(spark, "turns")
-    out = sorted_rows.withColumn("pos", pos)
-    out.write.parquet(folder)
-    found = spark.read.schema(out.schema).parquet(folder)
+    found, folder = written(sorted_rows.withColumn("pos", F.monotonically_increasing_id()), "turns")
     return found.withColumn("chunk", F.expr(f"pos - (pos % {PARTITION}L) % {CHUNK}")), folder
 
 
