@@ -13,15 +13,11 @@ from __future__ import annotations
 
 from typing import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from segstream.functions.routing import EPOCH_SHIFT
 
-# Above this many segments a cut is joined as a (broadcast, size-checked)
-# table instead of being inlined as literal predicates.
-LITERAL_SEGMENTS_MAX = 256
-
 
 def epoch(segment_id: int) -> int:
     return int(segment_id) // EPOCH_SHIFT
@@ -77,26 +73,6 @@ def segment_ranges(
     return out
 
 
-def range_predicate(ranges: dict[int, tuple[int, int | None]], segment_col: str = "segment_id",
-                    offset_col: str = "offset") -> Column:
-    """OR of per-segment offset ranges as literals (pushes down to Parquet).
-
-    Built as one SQL expression: a single parse instead of a py4j call per
-    comparison, which matters with many segments."""
-    if not ranges:
-        return F.lit(False)
-    seg, off = f"`{segment_col}`", f"`{offset_col}`"
-    terms = []
-    for s, (lo, hi) in sorted(ranges.items()):
-        t = [f"{seg} = {int(s)}"]
-        if lo > 0:
-            t.append(f"{off} >= {int(lo)}")
-        if hi is not None:
-            t.append(f"{off} < {int(hi)}")
-        terms.append("(" + " AND ".join(t) + ")")
-    return F.expr(" OR ".join(terms))
-
-
 def small_table(spark, rows: list[tuple], names: list[str], types: list[str]) -> DataFrame:
     """A driver-side table of known small size (one row per segment) built in
     the JVM from one literal SQL expression, without a Python RDD."""
@@ -114,18 +90,23 @@ def small_table(spark, rows: list[tuple], names: list[str], types: list[str]) ->
 
 def filter_ranges(df: DataFrame, ranges: dict[int, tuple[int, int | None]], segment_col: str = "segment_id",
                   offset_col: str = "offset") -> DataFrame:
-    """Keep the events in the ranges.  Literal predicates for up to
-    ``LITERAL_SEGMENTS_MAX`` segments; beyond that a broadcast join with the
-    range table, whose size is the number of segments (known on the driver)."""
-    if len(ranges) <= LITERAL_SEGMENTS_MAX:
-        return df.where(range_predicate(ranges, segment_col, offset_col))
-    spark = df.sparkSession
-    table = small_table(spark, [(int(s), int(lo), None if hi is None else int(hi)) for s, (lo, hi) in ranges.items()],
+    """Keep the events in the ranges: a semi join with the range table, which has
+    one row a segment (its size is known on the driver) and is broadcast. The
+    segments and the outermost offsets are literal predicates, too, so that
+    partitions, files and row groups outside of them are not read."""
+    if not ranges:
+        return df.where(F.lit(False))
+    seg, off = F.col(segment_col), F.col(offset_col)
+    lows, highs = zip(*ranges.values())
+    outer = seg.isin([int(s) for s in ranges])
+    if min(lows) > 0:
+        outer = outer & (off >= F.lit(int(min(lows))))
+    if None not in highs:
+        outer = outer & (off < F.lit(int(max(highs))))
+    table = small_table(df.sparkSession, [(int(s), int(lo), None if hi is None else int(hi)) for s, (lo, hi) in ranges.items()],
                         ["_rs", "_lo", "_hi"], ["bigint", "bigint", "bigint"])
-    cond = (F.col(segment_col) == F.col("_rs")) & (F.col(offset_col) >= F.col("_lo")) & (
-        F.col("_hi").isNull() | (F.col(offset_col) < F.col("_hi"))
-    )
-    return df.join(F.broadcast(table), cond, "left_semi")
+    inside = (seg == F.col("_rs")) & (off >= F.col("_lo")) & (F.col("_hi").isNull() | (off < F.col("_hi")))
+    return df.where(outer).join(F.broadcast(table), inside, "left_semi")
 
 
 def cut_filter(df: DataFrame, start: dict[int, int] | None = None, end: dict[int, int] | None = None,
@@ -148,7 +129,7 @@ def next_cut_frame(df: DataFrame, start: dict[int, int], budget: int,
     Every event whose start offset is below ``start[s] + budget/n`` is taken;
     the next position of a segment is the end of its last taken event, or
     ``start[s]`` when it has none.  Only the events inside the window are read
-    (literal ranges push down to the scan).  ``end`` caps each segment.
+    (the outermost offsets push down to the scan).  ``end`` caps each segment.
     """
     b = budget_per_segment(budget, len(start))
     ranges = {}

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from segstream.functions.routing import event_length, segment_for_key
+from segstream.operators.cuts import small_table
 from segstream.operators.offsets import assign_offsets
 
 
@@ -17,8 +18,9 @@ def truncate_at(df: DataFrame, head: dict[int, int]) -> DataFrame:
     everything (they are newer than the cut)."""
     if not head:
         return df
-    cond = " OR ".join(f"(`segment_id` = {int(s)} AND `offset` < {int(h)})" for s, h in sorted(head.items()))
-    return df.where(~F.expr(cond))
+    heads = small_table(df.sparkSession, sorted((int(s), int(h)) for s, h in head.items()), ["_hs", "_head"], ["bigint", "bigint"])
+    gone = (F.col("segment_id") == F.col("_hs")) & (F.col("offset") < F.col("_head"))
+    return df.join(F.broadcast(heads), gone, "left_anti")  # one row a segment of the cut
 
 
 def head_cut_frame(survivors: DataFrame, all_events: DataFrame) -> DataFrame:

@@ -320,12 +320,14 @@ class StreamReader(DataSourceStreamReader):
     def latestOffset(self):
         self._resolve()
         snap = self._snap()
+        from segstream.sources.log import stream_dir
+
         frm = self._last_end if self._last_end is not None else self._start
         frm = _advance_epoch(snap, _skip_truncated(snap, frm))
         if self.budget is None:
             nxt = _tail_from(snap, frm)
         else:
-            nxt = _next_cut_files(snap, frm, self.budget)
+            nxt = _next_cut_files(snap, frm, self.budget, stream_dir(self.o[O.PATH], self.o[O.SCOPE], self.o[O.STREAM]))
         if self._end is not None:
             nxt = _cap(nxt, self._end)
         return _offset(nxt)
@@ -389,36 +391,32 @@ def _cap(cut: dict[int, int], end: dict[int, int]) -> dict[int, int]:
     return out
 
 
-def _next_cut_files(snap, frm: dict[int, int], budget: int) -> dict[int, int]:
-    """Next cut under the byte budget, reading only ``offset``/``len`` of the
-    files that overlap each segment's window.  Segments are read in parallel
-    threads (pyarrow releases the GIL while it reads)."""
+def _next_cut_files(snap, frm: dict[int, int], budget: int, stream_folder: str) -> dict[int, int]:
+    """Next cut under the byte budget, from the event boundaries kept beside the
+    files (``marks``): one small row a segment. Only a file that a format write
+    left, which has none, gives its ``offset`` and ``len`` columns. Segments are
+    looked up in parallel threads (pyarrow releases the GIL while it reads)."""
     from concurrent.futures import ThreadPoolExecutor
 
-    b = budget_per_segment(budget, len(frm))
-    from segstream.sources.log import iter_files
-
-    by_seg: dict[int, list] = {}
-    for f in iter_files(snap, frm.keys()):
-        by_seg.setdefault(int(f["segment_id"]), []).append(f)
-
-    def advance(item):
-        s, c = item
-        lo, hi = int(c), int(c) + b
-        best = None
-        for f in by_seg.get(s, []):
-            if f["hi"] <= lo or f["lo"] >= hi:
-                continue
-            m = _window_end(f, lo, hi)
-            if m is not None:
-                best = m if best is None else max(best, m)
-        return s, (int(best) if best is not None else int(c))
-
-    items = list(frm.items())
-    if len(items) <= 1:
-        return dict(advance(i) for i in items)
-    with ThreadPoolExecutor(max_workers=min(16, len(items))) as pool:
-        return dict(pool.map(advance, items))
+    from segstream.sources.log import ArrowFS, _strip_scheme, _txn_of_path, iter_files
+    from segstream.sources.marks import boundary_in, marks_dir, targets
+
+    cut, wanted = targets(frm, budget_per_segment(budget, len(frm)), None, snap.head, snap.tail)
+    holds = {int(f["segment_id"]): f for f in iter_files(snap, wanted)
+             if int(f["lo"]) < wanted[int(f["segment_id"])] <= int(f["hi"])}
+
+    def advance(s: int) -> tuple[int, int]:
+        f = holds[s]
+        txn = _txn_of_path(f["path"])
+        if txn in snap.marked:
+            folder = marks_dir(stream_folder, txn)
+            return s, boundary_in(ArrowFS(folder).arrow_fs, _strip_scheme(folder), s, wanted[s])
+        return s, _window_end(f, int(f["lo"]), wanted[s])
+
+    if not wanted:
+        return cut
+    with ThreadPoolExecutor(max_workers=min(16, len(wanted))) as pool:
+        return cut | dict(pool.map(advance, wanted))
 
 
 def _window_end(f: dict, lo: int, hi: int) -> int | None:

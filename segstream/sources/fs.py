@@ -81,14 +81,20 @@ class HadoopFS:
         return done
 
     def write_text(self, p: str, text: str) -> None:
-        """Replace ``p`` by a whole new file."""
+        """Replace ``p`` by a whole new file; readers see the old one or the new one."""
         tmp = temporary(p)
         self._put(tmp, text)
         if self._fs.getScheme() == "file":
             os.replace(self._local(tmp), self._local(p))
         else:
-            self.delete(p)
-            self.rename(tmp, p)
+            self._replace(tmp, p)
+
+    def _replace(self, src: str, dst: str) -> None:
+        """Rename over an existing target in one step."""
+        hadoop = self._jvm.org.apache.hadoop.fs
+        how = self.spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 1)
+        how[0] = hadoop.Options.Rename.OVERWRITE
+        hadoop.FileContext.getFileContext(self._fs.getUri(), self._fs.getConf()).rename(self.path(src), self.path(dst), how)
 
     def _local(self, p: str) -> str:
         return str(self.path(p).toUri().getPath())

@@ -10,6 +10,13 @@ tail and records the files with their bases in one log entry.  Readers add the
 base (a broadcast join on the file name, sized by the file count in the log);
 ``compact`` rewrites such files with absolute offsets.
 
+A write job has one start record, which ``prepare`` creates and every task renews
+while it writes; the folders of its tasks carry the job's name, so ``vacuum``
+leaves them alone until the record has run out, and a commit after that fails
+instead of listing files that may be gone. With ``exactly_once=false`` a batch
+write commits each task's files when the task ends: they are visible before the
+job is done, and a task that runs again appends its rows again.
+
 Streaming writes are exactly-once when the ``query_id`` option names the
 query (the commit is keyed by (query_id, batch id)); without it a replayed
 batch is appended again (at-least-once).
@@ -19,6 +26,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import hashlib
+import time
 import uuid
 from dataclasses import dataclass, field
 
@@ -55,7 +63,40 @@ def _segment(key, event: bytes, epoch: int, n: int) -> int:
     return epoch * EPOCH_SHIFT + ((int(digest[:8], 16) * n) >> 32)
 
 
-def write_pieces(batches, o: dict, epoch: int, n: int) -> PiecesMessage:
+class JobLease:
+    """The start record of a write job, renewed from its tasks."""
+
+    def __init__(self, o: dict, job: str, streaming: bool):
+        self.o, self.job, self.next = o, job, 0.0
+        default = O.DEFAULT_TRANSACTION_TIMEOUT_MS if streaming else O.DEFAULT_BATCH_TRANSACTION_TIMEOUT_MS
+        self.timeout_ms = int(o.get(O.TRANSACTION_TIMEOUT_MS, default))
+
+    def _log(self):
+        from segstream.sources.log import CommitLog
+
+        return CommitLog(None, self.o[O.PATH], self.o[O.SCOPE], self.o[O.STREAM])
+
+    def start(self) -> None:
+        self._log().start_transaction(self.job, int(time.time() * 1000) + self.timeout_ms)
+
+    def renew(self) -> None:
+        """At most four times in a timeout."""
+        if time.time() >= self.next:
+            self._log().renew_transaction(self.job, int(time.time() * 1000) + self.timeout_ms)
+            self.next = time.time() + self.timeout_ms / 4000
+
+    def check(self) -> None:
+        from segstream.sources.log import TransactionTimeoutError
+
+        until = self._log().transaction_deadline(self.job)
+        if until is None or time.time() * 1000 >= until:
+            raise TransactionTimeoutError(f"write {self.job} was not renewed within its timeout; nothing was appended")
+
+    def end(self) -> None:
+        self._log().end_transaction(self.job)
+
+
+def write_pieces(batches, o: dict, epoch: int, n: int, lease: JobLease) -> PiecesMessage:
     """Task side: route, place relative to the file, write one file per segment."""
     import pyarrow as pa
     import pyarrow.parquet as pq
@@ -65,9 +106,11 @@ def write_pieces(batches, o: dict, epoch: int, n: int) -> PiecesMessage:
 
     ctx = TaskContext.get()
     pid = ctx.partitionId() if ctx is not None else 0
-    txn = uuid.uuid4().hex
+    txn = f"{lease.job}-{uuid.uuid4().hex}"
     per_seg: dict[int, tuple[list, list]] = {}
+    lease.renew()
     for b in batches:
+        lease.renew()
         names = b.schema.names
         ev = b.column(names.index(O.EVENT)).to_pylist()
         keys = b.column(names.index(O.ROUTING_KEY)).to_pylist() if O.ROUTING_KEY in names else [None] * len(ev)
@@ -103,39 +146,42 @@ def write_pieces(batches, o: dict, epoch: int, n: int) -> PiecesMessage:
         path = f"{folder}/part-{pid:05d}-{uuid.uuid4().hex[:8]}.parquet"
         pq.write_table(table, _strip_scheme(path), filesystem=fs.arrow_fs)
         pieces.append({"path": path, "segment_id": s, "rows": len(evs), "bytes": acc})
+        lease.renew()
     return PiecesMessage(pid, txn, pieces)
 
 
 def commit_pieces(o: dict, messages, query_id: str | None = None, batch_id: int | None = None,
                   exactly_once: bool = True) -> int | None:
-    """Driver side: bases after the tail, in task order; one log entry."""
-    from segstream.sources.log import CommitLog
+    """Bases after the tail, in task order; one log entry. If another writer
+    commits first, the bases are taken anew behind it."""
+    from segstream.sources.log import CommitLog, ConcurrentAppendError
 
     log = CommitLog(None, o[O.PATH], o[O.SCOPE], o[O.STREAM])
-    snap = log.snapshot()
-    if exactly_once and query_id is not None and batch_id is not None and (str(query_id), int(batch_id)) in snap.batches:
-        return None
     msgs = sorted([m for m in messages if m is not None and m.pieces], key=lambda m: m.partition_id)
-    if not msgs:
-        return None
-    current = set(snap.current_segments)
-    if any(int(p["segment_id"]) not in current for m in msgs for p in m.pieces):
-        from segstream.sources.log import ConcurrentAppendError
-
-        raise ConcurrentAppendError("the stream was scaled while this write ran; retry the write")
-    tail = dict(snap.tail)
-    files = []
-    for m in msgs:
-        for p in m.pieces:
-            s = int(p["segment_id"])
-            base = int(tail.get(s, 0))
-            files.append({"path": p["path"], "segment_id": s, "lo": base, "hi": base + int(p["bytes"]),
-                          "rows": int(p["rows"]), "base": base})
-            tail[s] = base + int(p["bytes"])
-    entry = {"kind": "append", "txn": msgs[0].txn, "txns": [m.txn for m in msgs], "relative": True,
-             "files": files, "tail": {str(k): v for k, v in tail.items()},
-             "rows": sum(f["rows"] for f in files), "query_id": query_id, "batch_id": batch_id}
-    return log.commit(snap, entry)
+    while msgs:
+        snap = log.snapshot()
+        if exactly_once and query_id is not None and batch_id is not None and (str(query_id), int(batch_id)) in snap.batches:
+            return None
+        current = set(snap.current_segments)
+        if any(int(p["segment_id"]) not in current for m in msgs for p in m.pieces):
+            raise ConcurrentAppendError("the stream was scaled while this write ran; retry the write")
+        tail = dict(snap.tail)
+        files = []
+        for m in msgs:
+            for p in m.pieces:
+                s = int(p["segment_id"])
+                base = int(tail.get(s, 0))
+                files.append({"path": p["path"], "segment_id": s, "lo": base, "hi": base + int(p["bytes"]),
+                              "rows": int(p["rows"]), "base": base})
+                tail[s] = base + int(p["bytes"])
+        entry = {"kind": "append", "txn": msgs[0].txn, "txns": [m.txn for m in msgs], "relative": True,
+                 "files": files, "tail": {str(k): v for k, v in tail.items()},
+                 "rows": sum(f["rows"] for f in files), "query_id": query_id, "batch_id": batch_id}
+        try:
+            return log.commit(snap, entry)
+        except ConcurrentAppendError:
+            continue
+    return None
 
 
 def prepare(o: dict) -> tuple[int, int]:
@@ -165,25 +211,36 @@ class BatchWriter(DataSourceArrowWriter):
         check_schema(schema)
         self.o = o
         self.epoch, self.n = prepare(o)
+        self.exactly_once = O.flag(o, O.EXACTLY_ONCE, True)
+        self.lease = JobLease(o, uuid.uuid4().hex, streaming=False)
+        self.lease.start()
 
     def write(self, iterator):
-        return write_pieces(iterator, self.o, self.epoch, self.n)
+        done = write_pieces(iterator, self.o, self.epoch, self.n, self.lease)
+        if not self.exactly_once:
+            commit_pieces(self.o, [done])
+            done.pieces = []
+        return done
 
     def commit(self, messages):
-        commit_pieces(self.o, messages)
+        if any(m is not None and m.pieces for m in messages):
+            self.lease.check()
+            commit_pieces(self.o, messages)
+        self.lease.end()
 
     def abort(self, messages):
-        # Nothing was committed: the task folders stay invisible until vacuum.
-        pass
+        # What was not committed stays invisible until vacuum.
+        self.lease.end()
 
 
 class StreamWriter(DataSourceStreamArrowWriter):
     def __init__(self, o: dict, schema):
         check_schema(schema)
         self.o = o
-        self.epoch, self.n = prepare(o)
+        prepare(o)
         self.query_id = o.get("query_id")
         self.exactly_once = O.flag(o, O.EXACTLY_ONCE, True)
+        self.lease = JobLease(o, uuid.uuid4().hex, streaming=True)
 
     def write(self, iterator):
         # Read the newest epoch per batch so a scaling between batches is followed.
@@ -191,10 +248,12 @@ class StreamWriter(DataSourceStreamArrowWriter):
 
         snap = CommitLog(None, self.o[O.PATH], self.o[O.SCOPE], self.o[O.STREAM]).snapshot()
         epoch, n = snap.epochs[-1]
-        return write_pieces(iterator, self.o, epoch, n)
+        return write_pieces(iterator, self.o, epoch, n, self.lease)
 
     def commit(self, messages, batchId):
-        commit_pieces(self.o, messages, self.query_id, batchId, self.exactly_once)
+        if any(m is not None and m.pieces for m in messages):
+            self.lease.check()
+            commit_pieces(self.o, messages, self.query_id, batchId, self.exactly_once)
 
     def abort(self, messages, batchId):
         pass

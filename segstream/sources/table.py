@@ -16,15 +16,15 @@ import uuid
 from urllib.parse import unquote
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from segstream import options as O
-from segstream.functions.routing import event_length, segment_for_key
+from segstream.functions.routing import EPOCH_SHIFT, event_length, key_position, segment_number
 from segstream.operators.cuts import filter_ranges, segment_ranges
 from segstream.operators.maintain import head_cut_frame, retain_appended, retain_by_time, truncate_at
-from segstream.operators.offsets import assign_offsets
+from segstream.operators.offsets import place_rows
 from segstream.sources.log import (
     CommitLog,
     ConcurrentAppendError,
@@ -34,6 +34,7 @@ from segstream.sources.log import (
     data_dir,
     stream_dir,
 )
+from segstream.sources.marks import boundaries, marks_dir, targets, write_marks
 
 READ_SCHEMA = T.StructType([
     T.StructField("event", T.BinaryType()),
@@ -117,11 +118,6 @@ def files_frame(spark: SparkSession, root: str, scope: str, stream: str, snap: S
         # Large transactions keep their extents in a manifest: read their folders
         # (segment partition filter and offset statistics still prune).
         paths += [f"{base}/txn={t}" for t in sorted(snap.manifest_txns)]
-        if len(paths) > EXPLICIT_FILES_MAX:
-            # Listing many explicit files costs a parallel listing job; their
-            # transaction folders list fast, and the segment partition filter and
-            # offset row-group statistics still skip what is out of range.
-            paths = sorted({f"{base}/txn={_txn_of(p)}" for p in paths})
     parts = []
     if paths:
         parts.append(spark.read.schema(FILE_SCHEMA).option("basePath", base).parquet(*paths))
@@ -135,13 +131,6 @@ def files_frame(spark: SparkSession, root: str, scope: str, stream: str, snap: S
     return out
 
 
-EXPLICIT_FILES_MAX = 32  # Spark lists more paths than this with a parallel job
-
-
-def _txn_of(path: str) -> str:
-    return path.split("/txn=", 1)[1].split("/", 1)[0]
-
-
 def _relative_files(spark: SparkSession, base: str, files: list[dict]) -> DataFrame:
     """Files whose offsets are relative: add each file's base from the log.
     The (file name, base) table has one row per file of the log: its size is
@@ -238,7 +227,8 @@ class NullEventError(ValueError):
 def project_for_write(df: DataFrame, order_by: list[str] | None) -> DataFrame:
     """The stored columns; ``seq`` is the first order column where it is an
     integer (else its whole part), ``_o0``, ``_o1``, ... are the order columns
-    as they are, ``_row`` the input's (partition, row) order."""
+    as they are, ``_row`` the input's (partition, row) order, ``_pos`` the position
+    of the routing key (hashed once, whatever epoch the rows are placed in)."""
     keep = [F.col(O.EVENT).cast("binary").alias("event")]
     if O.ROUTING_KEY in df.columns:
         keep.append(F.col(O.ROUTING_KEY).cast("string").alias("routing_key"))
@@ -253,7 +243,8 @@ def project_for_write(df: DataFrame, order_by: list[str] | None) -> DataFrame:
         keep += [F.col(c).alias(f"_o{i}") for i, c in enumerate(order_by)]
     else:
         keep.append(F.lit(None).cast("bigint").alias("seq"))
-    return df.select(*keep, F.monotonically_increasing_id().alias("_row"))
+    stored = df.select(*keep, F.monotonically_increasing_id().alias("_row"))
+    return stored.withColumn("_pos", key_position("routing_key", "event")).withColumn("len", event_length("event"))
 
 
 @dataclass
@@ -305,8 +296,11 @@ def append(df: DataFrame, root: str, scope: str, stream: str, order_by: str | li
     log.fs.mkdirs(target)
     with Lease(log, txn, timeout) as lease:
         try:
-            project_for_write(df, order_by).withColumn("len", event_length("event")).write.parquet(staging)
-            return _place_and_commit(spark, log, staging, target, lease, order_by, query_id, batch_id, exactly_once)
+            seen = Observation()
+            counted = project_for_write(df, order_by).observe(
+                seen, F.count(F.lit(1)).alias("rows"), F.count("event").alias("events"), F.sum("len").alias("bytes"))
+            counted.write.parquet(staging)
+            return _place_and_commit(spark, log, staging, seen.get, target, lease, order_by, query_id, batch_id, exactly_once)
         finally:
             log.fs.delete(staging)
 
@@ -353,16 +347,24 @@ def _committed(snap: Snapshot, query_id, batch_id, exactly_once: bool) -> bool:
     return exactly_once and query_id is not None and batch_id is not None and (str(query_id), int(batch_id)) in snap.batches
 
 
-def _place_and_commit(spark: SparkSession, log: CommitLog, staging: str, target: str, lease: Lease, order_by: list[str] | None,
+TASK_BYTES = 128 << 20  #: bytes of events that one task of an append places
+SMALL_TASK_BYTES = 4 << 20  #: as few tasks as this leaves work for, up to the shuffle partitions
+
+
+def _tasks(spark: SparkSession, size: int) -> int:
+    few = min(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), -(-size // SMALL_TASK_BYTES))
+    return max(1, few, -(-size // TASK_BYTES))
+
+
+def _place_and_commit(spark: SparkSession, log: CommitLog, staging: str, total: dict, target: str, lease: Lease, order_by: list[str] | None,
                       query_id, batch_id, exactly_once: bool) -> AppendResult:
     """Write the staged rows behind the tail and commit; again if the tail moved."""
     txn = lease.txn
-    staged = spark.read.parquet(staging)
-    total = staged.agg(F.count(F.lit(1)).alias("rows"), F.count("event").alias("events")).first()
     if total["events"] < total["rows"]:
         raise NullEventError(f"{total['rows'] - total['events']} rows have no event")
     if not total["rows"]:
         return AppendResult(None, None, 0)  # an empty append writes no log entry
+    staged = spark.read.parquet(staging)
     order = [f"_o{i}" for i in range(len(order_by or []))] + ["_row"]
     placed_at = None
     while True:
@@ -373,25 +375,23 @@ def _place_and_commit(spark: SparkSession, log: CommitLog, staging: str, target:
         base = {s: snap.tail.get(s, 0) for s in snap.current_segments}
         if placed_at != (epoch, base):
             stamp = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-            routed = staged.withColumn("segment_id", segment_for_key("routing_key", n, epoch=epoch, event="event")).withColumn(
+            routed = staged.withColumn("segment_id", segment_number("_pos", n) + F.lit(epoch * EPOCH_SHIFT)).withColumn(
                 "append_ts", F.lit(stamp.isoformat(sep=" ")).cast("timestamp_ntz")
             )
             (
-                assign_offsets(routed, order_by=order, base=base)
+                place_rows(routed, order, base, _tasks(spark, int(total["bytes"])))
                 .select("event", "routing_key", "seq", "append_ts", "len", "offset", "segment_id")
-                .sortWithinPartitions("segment_id", "offset")
                 .write.mode("overwrite")
                 .partitionBy("segment_id")
                 .parquet(target)
             )
-            manifest_path = f"{stream_dir(log.root, log.scope, log.stream)}/_manifests/{txn}"
-            files, manifest, tail, rows = _extents(spark, target, manifest_path)
+            files, manifest, tail, rows = _extents(spark, target, stream_dir(log.root, log.scope, log.stream), txn)
             if rows != total["rows"]:
                 raise TransactionTimeoutError(f"transaction {txn} holds {rows} of {total['rows']} rows")
             placed_at = (epoch, base)
         if not lease.held():
             raise TransactionTimeoutError(f"transaction {txn} was not renewed within its timeout; nothing was appended")
-        entry = {"kind": "append", "txn": txn, "files": files, "manifest": manifest,
+        entry = {"kind": "append", "txn": txn, "files": files, "manifest": manifest, "marked": True,
                  "tail": {str(k): v for k, v in tail.items()}, "rows": rows, "query_id": query_id, "batch_id": batch_id}
         try:
             return AppendResult(log.commit(snap, entry), txn, rows)
@@ -402,14 +402,17 @@ def _place_and_commit(spark: SparkSession, log: CommitLog, staging: str, target:
 INLINE_FILES_MAX = 20000  # beyond this many files a transaction's extents go to a Parquet manifest
 
 
-def _extents(spark: SparkSession, target: str, manifest_path: str):
-    """Per-file extents of a written transaction, and per-segment tails.
+def _extents(spark: SparkSession, target: str, stream_folder: str, txn: str):
+    """Per-file extents of a written transaction, and per-segment tails, from the
+    event boundaries that are written beside it (``marks``).
 
     Up to ``INLINE_FILES_MAX`` files the extents come back to the driver and
     go into the log entry (one row per file).  Beyond that they are written as
     a Parquet manifest by the executors and only the per-segment tails (one
     row per segment) come back."""
-    ext = _extent_frame(spark, target)
+    events = spark.read.schema("len bigint, offset bigint, segment_id bigint").parquet(target)
+    marks = write_marks(events, marks_dir(stream_folder, txn))
+    ext = marks.groupBy("path", "segment_id").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("rows").alias("rows"))
     head = ext.limit(INLINE_FILES_MAX + 1).collect()
     if len(head) <= INLINE_FILES_MAX:
         files = [_extent_row(r) for r in head]
@@ -417,6 +420,7 @@ def _extents(spark: SparkSession, target: str, manifest_path: str):
         for f in files:
             tail[f["segment_id"]] = max(tail.get(f["segment_id"], 0), f["hi"])
         return files, None, tail, sum(f["rows"] for f in files)
+    manifest_path = f"{stream_folder}/_manifests/{txn}"
     ext.write.mode("overwrite").parquet(manifest_path)
     per = spark.read.parquet(manifest_path).groupBy("segment_id").agg(
         F.max("hi").alias("hi"), F.sum("rows").alias("rows")).collect()
@@ -428,28 +432,29 @@ def _extent_row(r) -> dict:
             "rows": int(r["rows"])}
 
 
-def _extent_frame(spark: SparkSession, target: str) -> DataFrame:
-    df = spark.read.schema(
-        "event binary, routing_key string, seq bigint, append_ts timestamp_ntz, len bigint, offset bigint, segment_id bigint"
-    ).parquet(target)
-    return df.groupBy(F.input_file_name().alias("path"), "segment_id").agg(
-        F.min("offset").alias("lo"), F.max(F.col("offset") + F.col("len")).alias("hi"), F.count(F.lit(1)).alias("rows"))
-
-
 def next_cut(spark: SparkSession, root: str, scope: str, stream: str, start: dict[int, int], budget: int,
              end: dict[int, int] | None = None) -> dict[int, int]:
-    """Next cut under a byte budget, reading only the files that overlap each
-    segment's budget window (one row per segment comes back)."""
+    """Next cut under a byte budget, from the event boundaries kept beside the
+    files: one small row a segment is read, no event. (Files that a format write
+    left have no boundaries until ``compact``; of those the events of each
+    segment's budget window are read.)"""
     from segstream.operators.cuts import budget_per_segment, next_cut_frame
+    from segstream.sources.log import iter_files, _txn_of_path
 
-    log = CommitLog(spark, root, scope, stream)
-    snap = log.snapshot()
-    b = budget_per_segment(budget, len(start))
-    window = {s: c + b for s, c in start.items()}
-    if end:
-        window = {s: min(w, end.get(s, w)) for s, w in window.items()}
-    ev = read_events(spark, root, scope, stream, start=start, end=window, snap=snap)
-    return {int(r["segment_id"]): int(r["position"]) for r in next_cut_frame(ev, start, budget, end).collect()}
+    snap = CommitLog(spark, root, scope, stream).snapshot()
+    each = budget_per_segment(budget, len(start))
+    cut, wanted = targets(start, each, end, snap.head, snap.tail)
+    txns: set[str] = set()
+    for f in iter_files(snap, wanted):
+        if int(f["lo"]) < wanted[int(f["segment_id"])] <= int(f["hi"]):
+            txns.add(_txn_of_path(f["path"]))
+    if txns <= snap.marked:
+        folder = stream_dir(root, scope, stream)
+        return cut | (boundaries(spark, [marks_dir(folder, t) for t in sorted(txns)], wanted) if wanted else {})
+    asked = {s: int(start[s]) for s in wanted}
+    events = read_events(spark, root, scope, stream, start=asked, end=wanted, snap=snap)
+    rows = next_cut_frame(events, asked, each * len(asked), {s: wanted[s] for s in asked}).collect()
+    return cut | {int(r["segment_id"]): int(r["position"]) for r in rows}
 
 
 # --------------------------------------------------------------- metadata
@@ -490,8 +495,12 @@ def truncate(spark: SparkSession, root: str, scope: str, stream: str, cut: dict[
 def scale(spark: SparkSession, root: str, scope: str, stream: str, segments: int) -> int:
     """Seal every current segment and start a new epoch of uniform key ranges."""
     log = CommitLog(spark, root, scope, stream)
-    snap = log.snapshot()
-    return log.commit(snap, {"kind": "scale", "epoch": snap.current_epoch + 1, "segments": int(segments)})
+    while True:
+        snap = log.snapshot()
+        try:
+            return log.commit(snap, {"kind": "scale", "epoch": snap.current_epoch + 1, "segments": int(segments)})
+        except ConcurrentAppendError:
+            continue  # what was appended meanwhile stays in the epoch that this one seals
 
 
 def retention_cut(spark: SparkSession, root: str, scope: str, stream: str) -> dict[int, int] | None:
@@ -570,19 +579,29 @@ def compact(spark: SparkSession, root: str, scope: str, stream: str, target_byte
     live = sum(max(0, t - snap.head.get(s, 0)) for s, t in snap.tail.items())
     parts = max(1, math.ceil(live / max(1, int(target_bytes))))
     df = truncate_at(files_frame(spark, root, scope, stream, snap), {s: h for s, h in snap.head.items() if h > 0})
-    txn = uuid.uuid4().hex
+    txn, replaced = uuid.uuid4().hex, list(snap.txns)
     target = f"{data_dir(root, scope, stream)}/txn={txn}"
-    (
-        df.select("event", "routing_key", "seq", "append_ts", "len", "offset", "segment_id")
-        .repartitionByRange(parts, "segment_id", "offset")
-        .sortWithinPartitions("segment_id", "offset")
-        .write.mode("errorifexists")
-        .partitionBy("segment_id")
-        .parquet(target)
-    )
-    files, manifest, _, _ = _extents(spark, target, f"{stream_dir(root, scope, stream)}/_manifests/{txn}")
-    return log.commit(snap, {"kind": "compact", "txn": txn, "files": files, "manifest": manifest,
-                             "replaces": len(snap.txns)})
+    log.fs.mkdirs(target)
+    with Lease(log, txn, O.DEFAULT_BATCH_TRANSACTION_TIMEOUT_MS) as lease:
+        (
+            df.select("event", "routing_key", "seq", "append_ts", "len", "offset", "segment_id")
+            .repartitionByRange(parts, "segment_id", "offset")
+            .sortWithinPartitions("segment_id", "offset")
+            .write.mode("overwrite")
+            .partitionBy("segment_id")
+            .parquet(target)
+        )
+        files, manifest, _, _ = _extents(spark, target, stream_dir(root, scope, stream), txn)
+        entry = {"kind": "compact", "txn": txn, "files": files, "manifest": manifest, "marked": True, "replaced": replaced}
+        while True:
+            if not lease.held():
+                raise TransactionTimeoutError(f"compaction {txn} was not renewed within its timeout; nothing was replaced")
+            try:
+                return log.commit(snap, entry)
+            except ConcurrentAppendError:
+                snap = log.snapshot()  # appends and truncations in between leave the rewrite good
+                if not set(replaced) <= set(snap.txns):
+                    raise
 
 
 def drop_truncated(spark: SparkSession, root: str, scope: str, stream: str) -> list[str]:
@@ -592,20 +611,24 @@ def drop_truncated(spark: SparkSession, root: str, scope: str, stream: str) -> l
     from segstream.sources.log import iter_files, _txn_of_path
 
     log = CommitLog(spark, root, scope, stream)
-    snap = log.snapshot()
-    if not snap.head:
-        return []
-    live: set[str] = set()
-    seen: set[str] = set()
-    for f in iter_files(snap):
-        t = _txn_of_path(f["path"])
-        seen.add(t)
-        if int(f["hi"]) > int(snap.head.get(int(f["segment_id"]), 0)):
-            live.add(t)
-    gone = sorted(seen - live)
-    if gone:
-        log.commit(snap, {"kind": "drop", "txns": gone})
-    return gone
+    while True:
+        snap = log.snapshot()
+        if not snap.head:
+            return []
+        live: set[str] = set()
+        seen: set[str] = set()
+        for f in iter_files(snap):
+            t = _txn_of_path(f["path"])
+            seen.add(t)
+            if int(f["hi"]) > int(snap.head.get(int(f["segment_id"]), 0)):
+                live.add(t)
+        gone = sorted(seen - live)
+        try:
+            if gone:
+                log.commit(snap, {"kind": "drop", "txns": gone})
+            return gone
+        except ConcurrentAppendError:
+            continue
 
 
 def vacuum(spark: SparkSession, root: str, scope: str, stream: str, older_than_ms: int | None = None) -> list[str]:
@@ -625,6 +648,8 @@ def vacuum(spark: SparkSession, root: str, scope: str, stream: str, older_than_m
     base, manifests = data_dir(root, scope, stream), f"{stream_dir(root, scope, stream)}/_manifests"
     folders = [d[len("txn="):] for d in log.fs.list_dirs(base) if d.startswith("txn=")]
     lists = log.fs.list_dirs(manifests)
+    marks = f"{stream_dir(root, scope, stream)}/_marks"
+    marked = [d[len("txn="):] for d in log.fs.list_dirs(marks) if d.startswith("txn=")]
     snap = log.snapshot()
     limit = O.DEFAULT_BATCH_TRANSACTION_TIMEOUT_MS if older_than_ms is None else int(older_than_ms)
     now, committed, removed = _now_ms(), set(snap.txns), []
@@ -634,7 +659,7 @@ def vacuum(spark: SparkSession, root: str, scope: str, stream: str, older_than_m
         if txn in snap.removed:
             until = snap.removed[txn] + limit
         else:
-            until = log.transaction_deadline(txn)
+            until = log.transaction_deadline(txn.split("-")[0])  # tasks of a format write share their job's record
             if until is None:
                 until = log.fs.modification_time_ms(f"{base}/txn={txn}") + limit
         if now >= until:
@@ -650,6 +675,9 @@ def vacuum(spark: SparkSession, root: str, scope: str, stream: str, older_than_m
     for d in lists:
         if d in removed or d not in snap.manifest_txns and d not in folders:
             log.fs.delete(f"{manifests}/{d}")
+    for d in marked:
+        if d in removed or d not in snap.marked and d not in folders:
+            log.fs.delete(f"{marks}/txn={d}")
     return removed
 
 

@@ -57,9 +57,9 @@ def test_ranges_across_epochs():
 
 
 def test_many_segments_use_a_range_table(spark):
-    from segstream.operators.cuts import LITERAL_SEGMENTS_MAX, filter_ranges
+    from segstream.operators.cuts import filter_ranges
 
-    n = LITERAL_SEGMENTS_MAX + 44
+    n = 300
     rows = [(s, o * 10, 10) for s in range(n) for o in range(4)]
     df = spark.createDataFrame(rows, "segment_id bigint, offset bigint, len bigint")
     ranges = segment_ranges(range(n), {s: 10 for s in range(n)}, {s: 30 for s in range(n)})
