@@ -98,8 +98,8 @@ def scale_stream(df: DataFrame, split_seq: int, n_before: int, n_after: int) ->
     return assign_offsets(x.drop("_epoch"), order_by="seq")
 
 
-def segment_load(df: DataFrame, window: str = "1 hour", target_events_per_sec: int | None = None,
-                 target_kib_per_sec: int | None = None) -> DataFrame:
+def segment_load(df: DataFrame, window: str = "1 hour", target_events_per_sec: float | None = None,
+                 target_kib_per_sec: float | None = None) -> DataFrame:
     """Events and bytes per segment per time window, against the policy target.
 
     ``needs_split``: the window's rate is above the target (a scale-up hint);
@@ -119,9 +119,9 @@ def segment_load(df: DataFrame, window: str = "1 hour", target_events_per_sec: i
     )
     flag = F.lit(False)
     if target_events_per_sec is not None:
-        flag = F.col("events") > F.lit(int(target_events_per_sec) * secs)
+        flag = F.col("events") > F.lit(target_events_per_sec * secs)
     if target_kib_per_sec is not None:
-        flag = F.col("bytes") > F.lit(int(target_kib_per_sec) * 1024 * secs)
+        flag = F.col("bytes") > F.lit(target_kib_per_sec * 1024 * secs)
     return out.withColumn("needs_split", flag)
 
 

@@ -36,6 +36,17 @@ IDS = "WITH " + _stream("ids", "events", "user_id", "CAST(event_id AS VARCHAR)",
 PAYLOAD_ROWS = 'SELECT event AS payload, segment_id, "offset" FROM ev'
 
 
+def _batch_ids(budget: int) -> str:
+    each = max(1, budget // 3)
+    return EV.replace("WITH ", "WITH RECURSIVE ", 1) + f""",
+hop AS MATERIALIZED (SELECT a.segment_id, a."offset" AS o, b."offset" AS nxt
+  FROM ev a ASOF JOIN ev b ON a.segment_id = b.segment_id AND a."offset" + {each} <= b."offset"),
+chain AS (
+  SELECT segment_id, CAST(0 AS BIGINT) AS batch, min("offset") AS pos FROM ev GROUP BY segment_id
+  UNION ALL SELECT chain.segment_id, batch + 1, nxt FROM chain JOIN hop ON hop.segment_id = chain.segment_id AND hop.o = chain.pos)
+SELECT ev.segment_id, ev."offset", batch FROM ev ASOF JOIN chain ON ev.segment_id = chain.segment_id AND ev."offset" >= chain.pos"""
+
+
 def _next_cut(budget: int) -> str:
     return EV + f"""
 SELECT segment_id, CAST(max("offset" + len) AS BIGINT) AS position
@@ -61,6 +72,7 @@ ORACLE: dict[str, str] = {
     "route_to_segment": EV + "\nSELECT seq, routing_key, segment_id FROM ev",
     "assign_offsets": EV + '\nSELECT seq, segment_id, "offset", len FROM ev',
     "scan_full": EV + "\nSELECT event AS payload, 'demo' AS scope, 'events' AS stream, segment_id, \"offset\" FROM ev",
+    "stream_scan": EV + "\nSELECT event AS payload, 'demo' AS scope, 'events' AS stream, segment_id, \"offset\" FROM ev",
     "scan_columns": EV + '\nSELECT segment_id, "offset" FROM ev',
     "count_events": "SELECT count(*) AS events FROM events",
     "decode_event": EV + '\nSELECT segment_id, "offset", event AS payload FROM ev',
@@ -76,6 +88,7 @@ ORACLE: dict[str, str] = {
     "next_cut_b100": _next_cut(100),
     "next_cut_b1000": _next_cut(1000),
     "next_cut_b100000": _next_cut(100000),
+    **{f"batch_ids_b{b}": _batch_ids(b) for b in (1, 10, 20, 33, 100, 1000, 100000)},
     "cut_roundtrip": EV + """,
 tail AS (SELECT segment_id, CAST(max("offset" + len) AS BIGINT) AS position FROM ev GROUP BY segment_id),
 txt AS (SELECT '{' || string_agg('"' || CAST(segment_id AS VARCHAR) || '":' || CAST(position AS VARCHAR), ',' ORDER BY segment_id) || '}' AS cut_text FROM tail)
@@ -104,10 +117,9 @@ FROM li0""",
 SELECT o_orderstatus AS status, count(*) AS staged_events,
        CAST(sum(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END) AS BIGINT) AS visible_events
 FROM txn GROUP BY o_orderstatus""",
-    "expired_txns": """WITH staged AS (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY l_orderkey)
-SELECT o.o_orderkey, CAST(COALESCE(s.n, 0) AS BIGINT) AS staged_events
-FROM orders o LEFT JOIN staged s ON o.o_orderkey = s.l_orderkey
-WHERE o.o_orderstatus = 'O' AND o.o_orderdate < (SELECT max(o_orderdate) FROM orders) - INTERVAL 120 DAY""",
+    "expired_txns": """SELECT o_orderstatus AS status, CAST(SUM(CASE WHEN o_orderstatus = 'F' THEN n ELSE 0 END) AS BIGINT) AS visible_events,
+CAST(MAX(CASE WHEN o_orderstatus <> 'F' AND n > 0 THEN 1 ELSE 0 END) AS BIGINT) AS removed_txns
+FROM (SELECT o_orderstatus, (SELECT count(*) FROM lineitem WHERE l_orderkey = o_orderkey) AS n FROM orders) GROUP BY o_orderstatus""",
     "update_as_append": """WITH r AS (SELECT min(event_id) AS lo, max(event_id) - min(event_id) + 1 AS width FROM events),
 b AS (SELECT CAST(((event_id - r.lo) * 10) // r.width AS BIGINT) AS batch_id, CAST(user_id AS VARCHAR) AS key FROM events, r),
 per AS (SELECT batch_id, key, count(*) AS n FROM b GROUP BY batch_id, key),
@@ -127,7 +139,7 @@ SELECT seq, segment_id, "offset" FROM r WHERE newer <= 100000""",
 SELECT seq, segment_id, "offset" FROM sc WHERE seq >= (SELECT t1 FROM marks) AND seq < (SELECT t3 FROM marks)""",
     "segment_load": EV + """
 SELECT CAST(floor(epoch(append_ts) / 3600) * 3600 AS BIGINT) AS window_start, segment_id,
-       count(*) AS events, CAST(sum(len) AS BIGINT) AS bytes
+       count(*) AS events, CAST(sum(len) AS BIGINT) AS bytes, count(*) > 9 AS needs_split
 FROM ev GROUP BY 1, 2""",
     "ordered_by_key": EV + """
 SELECT routing_key, CAST(row_number() OVER (PARTITION BY routing_key ORDER BY segment_id, "offset") - 1 AS BIGINT) AS key_seq,

@@ -7,12 +7,14 @@ session's shared folder (``spark.checkpoint.dir``) and return the read-back.
 
 from __future__ import annotations
 
+import time
 from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from segstream.functions.cuts import cut_from_json, cut_to_json
+from segstream.operators.batches import batch_ids
 from segstream.operators.cuts import cut_filter, next_cut_frame
 from segstream.operators.maintain import retain_by_size, retain_by_time, scale_stream, segment_load, truncate_at
 from segstream.operators.meta import stream_info
@@ -28,6 +30,7 @@ RETENTION_MS = 7 * 24 * 3600 * 1000
 RETENTION_BYTES = 100000
 UPDATE_BATCHES = 10
 SCALE_AFTER = 6
+LOAD_TARGET = 0.0025  # events a second: nine an hour
 
 
 def _payload(df: DataFrame) -> DataFrame:
@@ -109,6 +112,33 @@ def q_scan_defaults(spark, sf_dir):
     return _payload(df).select("payload", "segment_id", "offset")
 
 
+STREAM_SCAN_BATCHES = 8
+
+
+def q_stream_scan(spark, sf_dir):
+    """The whole stream through ``readStream`` under a byte budget: stopped after
+    a few batches, started again from the checkpoint and read to the tail."""
+    from segstream.sources.datasource import register
+    from segstream.sources.log import CommitLog
+    from segstream.streaming import drain
+
+    root, _ = _write_events(spark, sf_dir)
+    register(spark)
+    size = sum(CommitLog(spark, root, "demo", "events").snapshot().tail.values())
+    source = (
+        spark.readStream.format("segstream").option("path", root).option("scope", "demo").option("stream", "events")
+        .option("start_stream_cut", "earliest").option("approx_bytes_per_trigger", str(max(1, size // STREAM_SCAN_BATCHES))).load()
+    )
+    out, checkpoint = fresh_table_root(spark, "out"), fresh_table_root(spark, "ckpt")
+    sink = source.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
+    first = sink.start()
+    while first.isActive and sum(p["numInputRows"] > 0 for p in first.recentProgress) < 3 and not first.status["message"].startswith("Waiting"):
+        time.sleep(0.05)
+    first.stop()
+    drain(sink.start())
+    return _payload(spark.read.schema(source.schema).parquet(out)).select("payload", "scope", "stream", "segment_id", "offset")
+
+
 def q_scan_cut_range(spark, sf_dir):
     m = _seq_marks(spark, sf_dir)
     root, _ = _write_events(spark, sf_dir)
@@ -148,6 +178,17 @@ def _next_cut(budget: int) -> Callable:
     return q
 
 
+def _batch_ids(budget: int) -> Callable:
+    """The micro-batch that takes each event when the whole stream is read under the budget."""
+
+    def q(spark, sf_dir):
+        ev = events_stream(spark, sf_dir, N_SEGMENTS)
+        return batch_ids(ev, {s: 0 for s in range(N_SEGMENTS)}, budget).select("segment_id", "offset", "batch")
+
+    q.__name__ = f"q_batch_ids_b{budget}"
+    return q
+
+
 def q_cut_roundtrip(spark, sf_dir):
     ev = events_stream(spark, sf_dir, N_SEGMENTS)
     tail = ev.groupBy("segment_id").agg(F.max(F.col("offset") + F.col("len")).alias("position"))
@@ -252,24 +293,27 @@ def q_committed_only(spark, sf_dir):
     )
 
 
+def _append_lines(spark, sf_dir, root: str, status: str, fails: bool) -> None:
+    """Append the lines of the orders of a status; ``fails``: a task dies after its first lines."""
+    key = F.concat_ws(":", "l_orderkey", "l_linenumber")
+    if fails:
+        key = F.when(F.col("l_linenumber") > 1, F.raise_error(F.lit("aborted"))).otherwise(key)
+    rows = _txn_events(spark, sf_dir).where(F.col("o_orderstatus") == status).select(
+        key.alias("event"), F.col("l_orderkey").cast("string").alias("routing_key"), "l_orderkey", "l_linenumber"
+    )
+    try:
+        TB.append(rows, root, "demo", "lines", order_by=["l_orderkey", "l_linenumber"], opts={"default_num_segments": str(N_SEGMENTS)})
+    except Exception:
+        if not fails:
+            raise
+
+
 def _commit_f_abort_others(spark, sf_dir) -> str:
     """A table root whose stream ``lines`` got one transaction for each status;
     only that of F commits."""
     root = fresh_table_root(spark, "q")
-    lines = _txn_events(spark, sf_dir)
-    opts = {"default_num_segments": str(N_SEGMENTS)}
     for status in ("F", "O", "P"):
-        key = F.concat_ws(":", "l_orderkey", "l_linenumber")
-        if status != "F":  # a task fails after its first lines are written
-            key = F.when(F.col("l_linenumber") > 1, F.raise_error(F.lit("aborted"))).otherwise(key)
-        rows = lines.where(F.col("o_orderstatus") == status).select(
-            key.alias("event"), F.col("l_orderkey").cast("string").alias("routing_key"), "l_orderkey", "l_linenumber"
-        )
-        try:
-            TB.append(rows, root, "demo", "lines", order_by=["l_orderkey", "l_linenumber"], opts=opts)
-        except Exception:
-            if status == "F":
-                raise
+        _append_lines(spark, sf_dir, root, status, fails=status != "F")
     return root
 
 
@@ -284,39 +328,60 @@ def q_abort_leaves_nothing(spark, sf_dir):
 
 
 def q_expired_txns(spark, sf_dir):
-    """Open transactions older than the timeout (relative to the newest order
-    date) are expired: vacuum drops their staged events."""
-    od = table(spark, sf_dir, "orders")
-    newest = od.agg(F.max("o_orderdate")).first()[0]
-    limit = F.lit(newest.isoformat(sep=" ")).cast("timestamp_ntz") - F.expr("INTERVAL 120 DAYS")
-    expired = od.where((F.col("o_orderstatus") == "O") & (F.col("o_orderdate") < limit)).select("o_orderkey")
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey")
-    staged = li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("staged_events"))
-    return expired.join(staged, expired.o_orderkey == staged.l_orderkey, "left").select(
-        "o_orderkey", F.coalesce("staged_events", F.lit(0)).cast("bigint").alias("staged_events")
-    )
+    """The lines of status F orders are committed, the writers of the others die
+    in a task. Once their leases are gone, vacuum deletes the folders of exactly
+    these transactions; the committed lines stay readable."""
+    root = fresh_table_root(spark, "q")
+    removed = {}
+    for status in ("F", "O", "P"):
+        _append_lines(spark, sf_dir, root, status, fails=status != "F")
+        removed[status] = len(TB.vacuum(spark, root, "demo", "lines", older_than_ms=0))
+    order = F.substring_index(F.col("event").cast("string"), ":", 1).cast("bigint")
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_orderstatus").alias("status"))
+    seen = TB.read_stream(spark, root, "demo", "lines").select(order.alias("k")).join(orders, "k").groupBy("status").agg(F.count(F.lit(1)).alias("visible_events"))
+    gone = F.create_map(*[F.lit(x) for pair in removed.items() for x in pair])
+    return orders.select("status").distinct().join(seen, "status", "left").select(
+        "status", F.coalesce("visible_events", F.lit(0)).cast("bigint").alias("visible_events"), gone[F.col("status")].cast("bigint").alias("removed_txns"))
+
+
+UPDATE_FILE_ROWS = 1_000_000
+UPDATE_STATE_PARTITIONS = 8
 
 
 def q_update_as_append(spark, sf_dir):
-    """Update-mode running counts per key written as one event per changed key
-    and batch; batches are ten equal event_id ranges."""
+    """Running counts a key from a streaming aggregate in update mode: each batch
+    appends one event for every key whose count changed, and the stream is read
+    back. The batches are ten equal event_id ranges, written as files in order
+    and taken a range at a trigger."""
+    from segstream.streaming.sink import stream_to_table
+
     ev = table(spark, sf_dir, "events")
-    r = ev.agg(F.min("event_id").alias("lo"), F.max("event_id").alias("hi")).first()
+    r = ev.agg(F.min("event_id").alias("lo"), F.max("event_id").alias("hi"), F.count(F.lit(1)).alias("n")).first()
     lo, width = int(r["lo"]), int(r["hi"]) - int(r["lo"]) + 1
-    b = ev.select(
-        F.expr(f"cast((event_id - {lo}) * {UPDATE_BATCHES} div {width} as bigint)").alias("batch_id"),
-        F.col("user_id").cast("string").alias("key"),
-    )
-    per = b.groupBy("batch_id", "key").agg(F.count(F.lit(1)).alias("n"))
-    # per key at most UPDATE_BATCHES rows: the window group is bounded
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("key").orderBy("batch_id").rowsBetween(Window.unboundedPreceding, 0)
-    out = per.withColumn("value", F.sum("n").over(w).cast("bigint"))
-    return out.select(
-        "batch_id", "key", "value",
-        F.to_json(F.create_map(F.lit("key"), F.col("key"), F.lit("value"), F.col("value").cast("string"))).alias("event"),
+    files = -(-int(r["n"]) // (UPDATE_BATCHES * UPDATE_FILE_ROWS))
+    number = F.expr(f"(event_id - {lo}) * {UPDATE_BATCHES} div {width}")
+    source = fresh_table_root(spark, "source")
+    for b in range(UPDATE_BATCHES):
+        ev.where(number == b).select("user_id").repartition(files).write.mode("append").parquet(source)
+    counts = (
+        spark.readStream.schema("user_id long").option("maxFilesPerTrigger", files).parquet(source)
+        .groupBy(F.col("user_id").cast("string").alias("key")).agg(F.count(F.lit(1)).cast("string").alias("value"))
     )
+    event = F.to_json(F.create_map(F.lit("key"), F.col("key"), F.lit("value"), F.col("value")))
+    root, conf = fresh_table_root(spark, "q"), "spark.sql.shuffle.partitions"
+    before = spark.conf.get(conf)
+    spark.conf.set(conf, str(min(int(before), UPDATE_STATE_PARTITIONS)))  # how many state stores the new query gets
+    try:
+        stream_to_table(counts.select(event.alias("event"), F.col("key").alias("routing_key")), root, "demo", "counts",
+                        checkpoint=fresh_table_root(spark, "ckpt"), output_mode="update", available_now=True).awaitTermination()
+    finally:
+        spark.conf.set(conf, before)
+    events = TB.read_events(spark, root, "demo", "counts")
+    # one append time a batch, in order
+    times = events.select("append_ts").distinct().withColumn("batch_id", (F.row_number().over(Window.orderBy("append_ts")) - 1).cast("bigint"))
+    text = F.col("event").cast("string")
+    return events.join(times, "append_ts").select(
+        "batch_id", F.get_json_object(text, "$.key").alias("key"), F.get_json_object(text, "$.value").cast("bigint").alias("value"), text.alias("event"))
 
 
 # ------------------------------------------------------------- maintenance
@@ -376,7 +441,7 @@ def q_scan_across_epochs(spark, sf_dir):
 
 def q_segment_load(spark, sf_dir):
     ev = events_stream(spark, sf_dir, N_SEGMENTS)
-    return segment_load(ev, "1 hour", target_events_per_sec=None, target_kib_per_sec=None).drop("needs_split")
+    return segment_load(ev, "1 hour", target_events_per_sec=LOAD_TARGET)
 
 
 def q_ordered_by_key(spark, sf_dir):
@@ -498,6 +563,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "assign_offsets": q_assign_offsets,
     "scan_full": q_scan_full,
     "scan_columns": q_scan_columns,
+    "stream_scan": q_stream_scan,
     "count_events": q_count_events,
     "decode_event": q_decode_event,
     "scan_defaults": q_scan_defaults,
@@ -506,6 +572,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_to_cut": q_scan_to_cut,
     "union_self": q_union_self,
     **{f"next_cut_b{b}": _next_cut(b) for b in BUDGETS},
+    **{f"batch_ids_b{b}": _batch_ids(b) for b in BUDGETS},
     "cut_roundtrip": q_cut_roundtrip,
     "meta_stream_info": q_meta_stream_info,
     "meta_stream_info_frame": q_meta_stream_info_frame,
