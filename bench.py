@@ -106,7 +106,7 @@ def main() -> None:
 
     # registered query plans over the whole tables
     for name in ("assign_offsets", "ordered_by_key", "retention_by_size", "scale_reroute", "segment_load",
-                 "committed_only", "update_as_append"):
+                 "committed_only"):
         run(f"q_{name}", lambda name=name: noop(Q.QUERIES[name](spark, sf_dir)))
 
     total = round(sum(times.values()), 3)

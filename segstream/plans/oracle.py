@@ -36,6 +36,20 @@ IDS = "WITH " + _stream("ids", "events", "user_id", "CAST(event_id AS VARCHAR)",
 PAYLOAD_ROWS = 'SELECT event AS payload, segment_id, "offset" FROM ev'
 
 
+_P = "('0x' || substr(md5(routing_key), 1, 8))::BIGINT"
+_B1, _B2 = -(-(1 << 32) // 3), -(-2 * (1 << 32) // 3)  # borders of three uniform ranges
+_C1, _C2 = _B1 + (_B2 - _B1) // 3, _B1 + 2 * (_B2 - _B1) // 3  # of the second one's thirds
+PARTIAL = EVM + f""",
+pp AS (SELECT seq, len, {_P} AS p, seq >= (SELECT mid FROM marks) AS split, seq >= (SELECT t3 FROM marks) AS merged FROM ev),
+ps AS (SELECT seq, len, CAST(CASE
+    WHEN merged AND p < {_C1} THEN 2 * 4294967296 + 6
+    WHEN split AND p >= {_B1} AND p < {_C1} THEN 4294967296 + 3
+    WHEN split AND p >= {_C1} AND p < {_C2} THEN 4294967296 + 4
+    WHEN split AND p >= {_C2} AND p < {_B2} THEN 4294967296 + 5
+    ELSE p * 3 // 4294967296 END AS BIGINT) AS segment_id FROM pp),
+sc AS (SELECT seq, segment_id, CAST(COALESCE(SUM(len) OVER (PARTITION BY segment_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS "offset" FROM ps)"""
+
+
 def _batch_ids(budget: int) -> str:
     each = max(1, budget // 3)
     return EV.replace("WITH ", "WITH RECURSIVE ", 1) + f""",
@@ -137,6 +151,9 @@ SELECT seq, segment_id, "offset" FROM r WHERE newer <= 100000""",
     "scale_reroute": SCALED + '\nSELECT seq, segment_id, "offset" FROM sc',
     "scan_across_epochs": SCALED + """
 SELECT seq, segment_id, "offset" FROM sc WHERE seq >= (SELECT t1 FROM marks) AND seq < (SELECT t3 FROM marks)""",
+    "scale_partial": PARTIAL + '\nSELECT seq, segment_id, "offset" FROM sc',
+    "scan_across_partial": PARTIAL + """
+SELECT seq, segment_id, "offset" FROM sc WHERE seq >= (SELECT t1 FROM marks) AND seq < (SELECT t2 FROM marks)""",
     "segment_load": EV + """
 SELECT CAST(floor(epoch(append_ts) / 3600) * 3600 AS BIGINT) AS window_start, segment_id,
        count(*) AS events, CAST(sum(len) AS BIGINT) AS bytes, count(*) > 9 AS needs_split

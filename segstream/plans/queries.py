@@ -14,10 +14,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from segstream.functions.cuts import cut_from_json, cut_to_json
+from segstream.operators import ranges
 from segstream.operators.batches import batch_ids
-from segstream.operators.cuts import cut_filter, next_cut_frame
+from segstream.operators.cuts import cut_filter, filter_ranges, next_cut_frame
 from segstream.operators.maintain import retain_by_size, retain_by_time, scale_stream, segment_load, truncate_at
 from segstream.operators.meta import stream_info
+from segstream.operators.offsets import assign_offsets
 from segstream.operators.order import with_key_seq
 from segstream.plans.fixture import events_stream, table
 from segstream.session import fresh_table_root
@@ -439,6 +441,31 @@ def q_scan_across_epochs(spark, sf_dir):
     return cut_filter(sc, start=start, end=end, segments=segs).select("seq", "segment_id", "offset")
 
 
+def _partial_scaling(spark, sf_dir) -> tuple[DataFrame, list, dict[str, int]]:
+    """Three segments; at the middle the second is split in three, at 7/8 the
+    first and the lowest of the new ones are merged."""
+    m = _seq_marks(spark, sf_dir)
+    first = ranges.uniform(N_SEGMENTS)
+    second = ranges.split(first, 1, 3)
+    third = ranges.merge(second, [0, ranges.open_segments(second)[1].segment_id])
+    ev = events_stream(spark, sf_dir, N_SEGMENTS).drop("segment_id", "offset")
+    placed = ranges.route_history(ev, [(m["mid"], first), (m["t3"], second), (None, third)])
+    return assign_offsets(placed, order_by="seq"), third, m
+
+
+def q_scale_partial(spark, sf_dir):
+    return _partial_scaling(spark, sf_dir)[0].select("seq", "segment_id", "offset")
+
+
+def q_scan_across_partial(spark, sf_dir):
+    """Between a cut before both scalings and one after the first."""
+    ev, table_, m = _partial_scaling(spark, sf_dir)
+    start = _cut_at(ev.where(F.col("segment_id") < N_SEGMENTS), m["t1"])
+    open_then = {x.segment_id for x in table_ if x.segment_id >> 32 < 2} - {1}
+    end = _cut_at(ev.where(F.col("segment_id").isin(sorted(open_then))), m["t2"])
+    return filter_ranges(ev, ranges.ranges_between(table_, start, end)).select("seq", "segment_id", "offset")
+
+
 def q_segment_load(spark, sf_dir):
     ev = events_stream(spark, sf_dir, N_SEGMENTS)
     return segment_load(ev, "1 hour", target_events_per_sec=LOAD_TARGET)
@@ -593,6 +620,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "retention_by_size": q_retention_by_size,
     "scale_reroute": q_scale_reroute,
     "scan_across_epochs": q_scan_across_epochs,
+    "scale_partial": q_scale_partial,
+    "scan_across_partial": q_scan_across_partial,
     "segment_load": q_segment_load,
     "ordered_by_key": q_ordered_by_key,
     "decode_int": q_decode_int,

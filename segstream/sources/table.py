@@ -510,14 +510,70 @@ def retention_cut(spark: SparkSession, root: str, scope: str, stream: str) -> di
     policy = O.StreamConfig.from_json(snap.config).retention
     if policy.kind == "none":
         return None
+    if policy.kind == "size":
+        return size_cut(spark, root, scope, stream, snap, policy.limit)
     events = read_events(spark, root, scope, stream, snap=snap)
-    if policy.kind == "time":
-        keep = retain_by_time(events, policy.limit, now=_dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None))
-    else:
-        keep = retain_appended(events, policy.limit)
+    keep = retain_by_time(events, policy.limit, now=_dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None))
     return {int(r["segment_id"]): int(r["position"]) for r in head_cut_frame(keep, events).collect()}
 
 
+def size_cut(spark: SparkSession, root: str, scope: str, stream: str, snap: Snapshot, limit: int) -> dict[int, int]:
+    """The head cut that keeps the newest events of at most ``limit`` bytes.
+
+    The extents of the files tell, from the newest transaction back, which ones
+    stay whole; inside the one where the limit is reached, the event boundaries
+    tell where. No event is read, unless that transaction holds events of many
+    append times (a compaction) or was left by a format write: then its events
+    are, and only they."""
+    from dataclasses import replace
+
+    from segstream.sources.log import iter_files, _txn_of_path
+
+    folder = stream_dir(root, scope, stream)
+    pieces: dict[str, dict[int, tuple[int, int]]] = {}
+    headed: dict[str, dict[int, int]] = {}  # transactions that a head lies inside of
+    for f in iter_files(snap):
+        s, txn = int(f["segment_id"]), _txn_of_path(f["path"])
+        lo, hi, head = int(f["lo"]), int(f["hi"]), snap.head.get(s, 0)
+        if hi > head:
+            if lo < head and txn in snap.marked:
+                headed.setdefault(txn, {})[s] = head
+            of = pieces.setdefault(txn, {})
+            was = of.get(s, (max(lo, head), hi))
+            of[s] = (min(was[0], max(lo, head)), max(was[1], hi))
+    for txn, heads in headed.items():  # the first event that a head inside an event leaves
+        for s, at in boundaries(spark, [marks_dir(folder, txn)], heads).items():
+            pieces[txn][s] = (at, pieces[txn][s][1])
+    cut: dict[int, int] = {}
+    for of in pieces.values():
+        for s, (_, hi) in of.items():
+            cut[s] = max(hi, cut.get(s, 0))
+    left = int(limit)
+    for txn in reversed(snap.txns):
+        of = pieces.get(txn, {})
+        size = sum(hi - lo for lo, hi in of.values())
+        if size <= left:
+            left -= size
+            cut.update({s: lo for s, (lo, _) in of.items()})
+            continue
+        if txn in snap.rel_txns or txn in snap.compacted or txn not in snap.marked:
+            alone = replace(snap, txns=[txn], files=[f for f in iter_files(snap) if _txn_of_path(f["path"]) == txn], manifests=[])
+            keep = retain_appended(read_events(spark, root, scope, stream, snap=alone), left)
+            cut.update({int(r["segment_id"]): int(r["at"]) for r in keep.groupBy("segment_id").agg(F.min("offset").alias("at")).collect()})
+            break
+        for s in sorted(of, reverse=True):  # of one append time: the higher segment is the newer
+            lo, hi = of[s]
+            if hi - lo <= left:
+                left -= hi - lo
+                cut[s] = lo
+            else:
+                if left:
+                    cut |= boundaries(spark, [marks_dir(folder, txn)], {s: hi - left})
+                break
+        break
+    return cut
+
+
 def apply_retention(spark: SparkSession, root: str, scope: str, stream: str) -> dict[int, int] | None:
     cut = retention_cut(spark, root, scope, stream)
     if cut:
