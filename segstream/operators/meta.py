@@ -29,19 +29,3 @@ def stream_info(df: DataFrame) -> DataFrame:
         cut_to_json(F.map_from_entries(F.collect_list(F.struct("segment_id", "head")))).alias("head_stream_cut"),
         cut_to_json(F.map_from_entries(F.collect_list(F.struct("segment_id", "tail")))).alias("tail_stream_cut"),
     )
-
-
-def stream_info_from_cuts(spark, head: dict[int, int], tail: dict[int, int]) -> DataFrame:
-    """The StreamInfo table from driver-side cuts (the table reader's path)."""
-    from segstream.options import cut_to_text
-
-    return spark.createDataFrame([(cut_to_text(head), cut_to_text(tail))], "head_stream_cut string, tail_stream_cut string")
-
-
-def streams_in_scope(df: DataFrame, scope: str) -> DataFrame:
-    """(scope_name, stream_name) for every stream of ``scope``."""
-    return (
-        df.where(F.col("scope") == F.lit(scope))
-        .select(F.col("scope").alias("scope_name"), F.col("stream").alias("stream_name"))
-        .distinct()
-    )

@@ -21,6 +21,7 @@ from segstream.operators.maintain import retain_by_size, retain_by_time, scale_s
 from segstream.operators.meta import stream_info
 from segstream.operators.offsets import assign_offsets
 from segstream.operators.order import with_key_seq
+from segstream.options import cut_to_text
 from segstream.plans.fixture import events_stream, table
 from segstream.session import fresh_table_root
 from segstream.sources import table as TB
@@ -117,30 +118,37 @@ def q_scan_defaults(spark, sf_dir):
 STREAM_SCAN_BATCHES = 8
 
 
-def q_stream_scan(spark, sf_dir):
-    """The whole stream through ``readStream`` under a byte budget: stopped after
-    a few batches, started again from the checkpoint and read to the tail."""
+def _stream_rows(spark, root: str, start: str, restart: bool) -> DataFrame:
+    """What ``readStream`` delivers from ``start`` to the tail under a byte budget,
+    collected by a file sink. With ``restart`` the query is stopped after a few
+    batches and started again from its checkpoint."""
     from segstream.sources.datasource import register
     from segstream.sources.log import CommitLog
     from segstream.streaming import drain
 
-    root, _ = _write_events(spark, sf_dir)
     register(spark)
     size = sum(CommitLog(spark, root, "demo", "events").snapshot().tail.values())
     source = (
         spark.readStream.format("segstream").option("path", root).option("scope", "demo").option("stream", "events")
-        .option("start_stream_cut", "earliest").option("approx_bytes_per_trigger", str(max(1, size // STREAM_SCAN_BATCHES))).load()
+        .option("start_stream_cut", start).option("approx_bytes_per_trigger", str(max(1, size // STREAM_SCAN_BATCHES))).load()
     )
     out, checkpoint = fresh_table_root(spark, "out"), fresh_table_root(spark, "ckpt")
     sink = source.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
-    first = sink.start()
-    while first.isActive and sum(p["numInputRows"] > 0 for p in first.recentProgress) < 3 and not first.status["message"].startswith("Waiting"):
-        time.sleep(0.05)
-    first.stop()
+    if restart:
+        first = sink.start()
+        while first.isActive and sum(p["numInputRows"] > 0 for p in first.recentProgress) < 3 and not first.status["message"].startswith("Waiting"):
+            time.sleep(0.05)
+        first.stop()
     drain(sink.start())
     return _payload(spark.read.schema(source.schema).parquet(out)).select("payload", "scope", "stream", "segment_id", "offset")
 
 
+def q_stream_scan(spark, sf_dir):
+    """The whole stream through ``readStream``, with a stop and a restart on the way."""
+    root, _ = _write_events(spark, sf_dir)
+    return _stream_rows(spark, root, "earliest", restart=True)
+
+
 def q_scan_cut_range(spark, sf_dir):
     m = _seq_marks(spark, sf_dir)
     root, _ = _write_events(spark, sf_dir)
@@ -404,12 +412,13 @@ def q_scan_truncated(spark, sf_dir):
 
 
 def q_stream_truncated_start(spark, sf_dir):
-    """A start position before the head reads from the head."""
+    """A streaming read whose start lies before the head begins at the head."""
     m = _seq_marks(spark, sf_dir)
     root, _ = _write_events(spark, sf_dir)
     ev = TB.read_events(spark, root, "demo", "events")
     TB.truncate(spark, root, "demo", "events", _cut_at(ev, m["t1"]))
-    return _read_payload(spark, root, start={s: 0 for s in range(N_SEGMENTS)})
+    start = cut_to_text({s: 0 for s in range(N_SEGMENTS)})
+    return _stream_rows(spark, root, start, restart=False).drop("scope", "stream")
 
 
 def q_retention_by_time(spark, sf_dir):

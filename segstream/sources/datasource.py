@@ -10,7 +10,8 @@ option-driven surface and the streaming reader.
 
 Options: ``path`` (table root), ``scope``, ``stream``, ``start_stream_cut``,
 ``end_stream_cut``, ``approx_bytes_per_trigger``, ``metadata``
-(``StreamInfo`` / ``Streams``) and the stream-creation options.
+(``StreamInfo`` / ``Streams``), ``append_time`` (``true`` adds the column
+``append_ts``, for event-time windows) and the stream-creation options.
 """
 
 from __future__ import annotations
@@ -24,10 +25,14 @@ from segstream import options as O
 from segstream.operators.cuts import budget_per_segment, segment_ranges
 
 READ_SCHEMA_DDL = "event binary, scope string, stream string, segment_id bigint, offset bigint"
+APPEND_TIME_DDL = READ_SCHEMA_DDL + ", append_ts timestamp_ntz"
 STREAM_INFO_DDL = "head_stream_cut string, tail_stream_cut string"
 STREAMS_DDL = "scope_name string, stream_name string"
 
 
+APPEND_TIME = "append_time"
+
+
 def register(spark) -> None:
     spark.dataSource.register(SegstreamDataSource)
 
@@ -129,7 +134,7 @@ def _file_parts(snap, ranges: dict[int, tuple[int, int | None]]) -> list[FileGro
     return _pack(parts)
 
 
-def _read_file(part: FilePart, scope: str, stream: str) -> Iterator:
+def _read_file(part: FilePart, o: dict) -> Iterator:
     import pyarrow as pa
     import pyarrow.compute as pc
     import pyarrow.parquet as pq
@@ -143,11 +148,13 @@ def _read_file(part: FilePart, scope: str, stream: str) -> Iterator:
     groups = _row_groups_in_range(pf, lo, hi)
     if not groups:
         return
-    for batch in pf.iter_batches(columns=["event", "offset"], batch_size=65536, row_groups=groups):
+    extra = ["append_ts"] if O.flag(o, APPEND_TIME, False) else []
+    scope, stream = o[O.SCOPE], o[O.STREAM]
+    for batch in pf.iter_batches(columns=["event", "offset", *extra], batch_size=65536, row_groups=groups):
         off = batch.column(1)
         if part.base:
             off = pc.add(off, pa.scalar(part.base, pa.int64()))
-            batch = pa.RecordBatch.from_arrays([batch.column(0), off], names=["event", "offset"])
+            batch = batch.set_column(1, "offset", off)
         mask = pc.greater_equal(off, pa.scalar(part.lo, pa.int64()))
         if part.hi is not None:
             mask = pc.and_(mask, pc.less(off, pa.scalar(part.hi, pa.int64())))
@@ -158,8 +165,8 @@ def _read_file(part: FilePart, scope: str, stream: str) -> Iterator:
         yield pa.RecordBatch.from_arrays(
             [b.column(0).cast(pa.binary()), pa.nulls(n, pa.string()).fill_null(scope),
              pa.nulls(n, pa.string()).fill_null(stream), pa.nulls(n, pa.int64()).fill_null(part.segment_id),
-             b.column(1)],
-            names=["event", "scope", "stream", "segment_id", "offset"],
+             b.column(1), *[b.column(2).cast(pa.timestamp("us")) for _ in extra]],
+            names=["event", "scope", "stream", "segment_id", "offset", *extra],
         )
 
 
@@ -198,7 +205,7 @@ class SegstreamDataSource(DataSource):
             return STREAM_INFO_DDL
         if self.meta == O.METADATA_STREAMS:
             return STREAMS_DDL
-        return READ_SCHEMA_DDL
+        return APPEND_TIME_DDL if O.flag(self.o, APPEND_TIME, False) else READ_SCHEMA_DDL
 
     def reader(self, schema):
         if self.meta is not None:
@@ -243,7 +250,7 @@ class BatchReader(DataSourceReader):
 
     def read(self, partition):
         for part in partition.parts:
-            yield from _read_file(part, self.o[O.SCOPE], self.o[O.STREAM])
+            yield from _read_file(part, self.o)
 
 
 class MetaReader(DataSourceReader):
@@ -341,7 +348,7 @@ class StreamReader(DataSourceStreamReader):
 
     def read(self, partition):
         for part in partition.parts:
-            yield from _read_file(part, self.o[O.SCOPE], self.o[O.STREAM])
+            yield from _read_file(part, self.o)
 
     def commit(self, end):
         pass

@@ -75,7 +75,7 @@ def test_next_cut_reads_boundaries_not_events(spark, root, monkeypatch, compacte
     events.count()
     tail = log.snapshot().tail
     heads = {s: 0 for s in tail}
-    for budget in (1, 30, 1000, 100_000, 10**9):
+    for budget in (30, 10_000):
         for cut in (heads, {s: t // 2 for s, t in _starts(events, tail).items()}, tail):
             wanted = {int(r["segment_id"]): int(r["position"]) for r in next_cut_frame(events, cut, budget).collect()}
             with monkeypatch.context() as m:

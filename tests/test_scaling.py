@@ -92,7 +92,7 @@ def test_retention_by_size_reads_no_event(spark, root, monkeypatch):
     def check(limits, events_read):
         events = TB.read_events(spark, root, "s", "t").cache()
         size = events.agg(F.sum("len")).first()[0]
-        for limit in [f * size // 100 for f in limits] + [0, size, size + 1]:
+        for limit in [f * size // 100 for f in limits] + [0, size]:
             keep = retain_appended(events, limit)
             wanted = {int(r["segment_id"]): int(r["position"]) for r in head_cut_frame(keep, events).collect()}
             with monkeypatch.context() as m:
@@ -100,16 +100,16 @@ def test_retention_by_size_reads_no_event(spark, root, monkeypatch):
                     m.setattr(TB, "read_events", lambda *a, **k: pytest.fail("events were read"))
                 assert TB.size_cut(spark, root, "s", "t", log.snapshot(), limit) == wanted
 
-    check([3, 40, 77], events_read=False)
+    check([40], events_read=False)
     TB.truncate(spark, root, "s", "t", {0: 1000, 1: 0, 2: 2000})
-    check([50, 90], events_read=False)
+    check([90], events_read=False)
     TB.compact(spark, root, "s", "t")
     add(100)
-    check([10, 60], events_read=True)
+    check([60], events_read=True)
     assert TB.apply_retention(spark, root, "s", "t") == log.snapshot().tail  # a limit of one byte keeps nothing
 
 
-@pytest.mark.parametrize("budget", [1, 90, 1000, 10**7])
+@pytest.mark.parametrize("budget", [1, 1000])
 def test_batch_ids_equal_walking_the_chain(spark, budget):
     """Events from empty to far longer than a stride, a start inside the stream."""
     size = F.when(F.col("id") % 97 == 5, 3_000_000).otherwise(F.col("id") % 40).cast("long")
@@ -132,3 +132,49 @@ def test_batch_ids_equal_walking_the_chain(spark, budget):
                 wanted[s, o] = batch
         got = {(r["segment_id"], r["offset"]): r["batch"] for r in batch_ids(ev, start, budget).collect()}
         assert got == wanted
+
+
+def test_load_stream_equals_load_report_and_scales(spark, root, scratch):
+    from segstream.streaming import drain
+    from segstream.streaming.load import autoscale_stream, load_stream
+
+    opts = {"default_num_segments": "2", "default_scale_factor": "2", "default_segment_target_rate_events_per_sec": "100"}
+
+    def add(n):
+        df = spark.range(n).select(F.col("id").cast("string").alias("event"), (F.col("id") % 9).cast("string").alias("routing_key"), "id")
+        TB.append(df, root, "s", "t", order_by="id", opts=opts)
+
+    add(400)
+    add(150)
+    for window in ("1 second", "1 hour"):
+        last = {}
+
+        def keep(batch, _):
+            last.update({(r["window_start"], r["segment_id"]): (r["events"], r["bytes"], r["needs_split"]) for r in batch.collect()})
+
+        loads = load_stream(spark, root, "s", "t", window, approx_bytes_per_trigger=3000)
+        drain(loads.writeStream.foreachBatch(keep).outputMode("update").option("checkpointLocation", f"{scratch}/{window[2:]}").start())
+        report = TB.load_report(spark, root, "s", "t", window).collect()
+        assert last == {(r["window_start"], r["segment_id"]): (r["events"], r["bytes"], r["needs_split"]) for r in report}
+        assert any(v[2] for v in last.values()) == (window == "1 second")
+    drain(autoscale_stream(spark, root, "s", "t", f"{scratch}/auto", "1 second"))
+    snap = CommitLog(spark, root, "s", "t").snapshot()
+    assert snap.current_epoch == 1 and len(snap.current_segments) == 4
+
+
+def test_load_stream_drops_events_behind_the_watermark(spark, root, scratch):
+    """Rows of an hour ago that arrive after newer ones were counted are late."""
+    from segstream.operators.maintain import segment_load
+
+    schema = "append_ts timestamp, segment_id long, len long"
+    source = f"{scratch}/source"
+    for i, (minute, n) in enumerate([(90, 3), (91, 2), (5, 7), (92, 1)]):
+        rows = [(1_700_000_000 + 60 * minute, 0, 10)] * n
+        df = spark.createDataFrame(rows, "t long, segment_id long, len long").select(F.timestamp_seconds("t").alias("append_ts"), "segment_id", "len")
+        df.coalesce(1).write.mode("append").parquet(source)
+    events = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source).withWatermark("append_ts", "10 minutes")
+    seen = []
+    q = segment_load(events, "1 hour").writeStream.foreachBatch(lambda b, _: seen.extend(b.collect())).outputMode("update")
+    q.option("checkpointLocation", f"{scratch}/c").trigger(availableNow=True).start().awaitTermination()
+    last = {r["window_start"]: r["events"] for r in seen}
+    assert sum(last.values()) == 6 and len(last) == 1
