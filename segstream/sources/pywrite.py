@@ -64,10 +64,15 @@ def _segment(key, event: bytes, epoch: int, n: int) -> int:
 
 
 class JobLease:
-    """The start record of a write job, renewed from its tasks."""
+    """The start record of a write job, renewed from its tasks.
+
+    A batch job whose record has run out is over: its tasks fail and its commit
+    is refused. A streaming query is idle between batches, so its record may run
+    out and be renewed by the next batch; its commit looks that no file of the
+    batch is gone."""
 
     def __init__(self, o: dict, job: str, streaming: bool):
-        self.o, self.job, self.next = o, job, 0.0
+        self.o, self.job, self.streaming, self.next = o, job, streaming, 0.0
         default = O.DEFAULT_TRANSACTION_TIMEOUT_MS if streaming else O.DEFAULT_BATCH_TRANSACTION_TIMEOUT_MS
         self.timeout_ms = int(o.get(O.TRANSACTION_TIMEOUT_MS, default))
 
@@ -76,21 +81,35 @@ class JobLease:
 
         return CommitLog(None, self.o[O.PATH], self.o[O.SCOPE], self.o[O.STREAM])
 
+    def _require(self, log, job: str) -> None:
+        from segstream.sources.log import TransactionTimeoutError
+
+        until = log.transaction_deadline(job)
+        if until is None or time.time() * 1000 >= until:
+            raise TransactionTimeoutError(f"write {job} was not renewed within its timeout; nothing was appended")
+
     def start(self) -> None:
         self._log().start_transaction(self.job, int(time.time() * 1000) + self.timeout_ms)
 
     def renew(self) -> None:
         """At most four times in a timeout."""
         if time.time() >= self.next:
-            self._log().renew_transaction(self.job, int(time.time() * 1000) + self.timeout_ms)
+            log = self._log()
+            if not self.streaming:
+                self._require(log, self.job)
+            log.renew_transaction(self.job, int(time.time() * 1000) + self.timeout_ms)
             self.next = time.time() + self.timeout_ms / 4000
 
-    def check(self) -> None:
+    def check(self, messages) -> None:
         from segstream.sources.log import TransactionTimeoutError
 
-        until = self._log().transaction_deadline(self.job)
-        if until is None or time.time() * 1000 >= until:
-            raise TransactionTimeoutError(f"write {self.job} was not renewed within its timeout; nothing was appended")
+        log = self._log()
+        # Spark may commit with another copy of the writer: the folders name the job
+        for job in {m.txn.split("-")[0] for m in messages if m is not None and m.pieces}:
+            self._require(log, job)
+        for p in (p for m in messages if m is not None for p in m.pieces):
+            if not log.fs.exists(p["path"]):
+                raise TransactionTimeoutError(f"write {self.job} lost {p['path']}; nothing was appended")
 
     def end(self) -> None:
         self._log().end_transaction(self.job)
@@ -224,7 +243,7 @@ class BatchWriter(DataSourceArrowWriter):
 
     def commit(self, messages):
         if any(m is not None and m.pieces for m in messages):
-            self.lease.check()
+            self.lease.check(messages)
             commit_pieces(self.o, messages)
         self.lease.end()
 
@@ -252,7 +271,7 @@ class StreamWriter(DataSourceStreamArrowWriter):
 
     def commit(self, messages, batchId):
         if any(m is not None and m.pieces for m in messages):
-            self.lease.check()
+            self.lease.check(messages)
             commit_pieces(self.o, messages, self.query_id, batchId, self.exactly_once)
 
     def abort(self, messages, batchId):
