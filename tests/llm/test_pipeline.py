@@ -42,7 +42,7 @@ def test_run_and_entry(spark, corpus):
     assert {r["doc_id"] for r in corpus_pipeline.run(spark, corpus).collect()} == set(range(60)) | {300}
     names = __spark_entry__.queries()
     assert {*QUERIES, "pipeline"} <= set(names) and set(ORACLE) <= set(__spark_entry__.oracle_sql())
-    assert [q.split("_")[0] for q in QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert [q.split("_")[0] for q in QUERIES] == [f"op{i}" for i in range(1, 14)]
 
 
 def test_empty_table(spark, corpus):
