@@ -4,20 +4,21 @@
    sets are one class; a class goes on alone, however many copies it has.
 2. Classes that share a band of their MinHash signatures are candidates. Bands
    are so many that a pair at the threshold escapes with probability ``miss``.
-3. Candidates are met star by star: a bucket's members are compared with a few
-   pivots, never all with all. Members that became connected need no further
-   comparison; while a bucket holds unconnected members that were not compared,
-   it gets more pivots (sixteen times as many each round), so no candidate pair is
-   lost and a large group of near copies costs one comparison a member.
-   The first round looks at the buckets of two bands alone, which joins most
-   large groups before the other bands are looked at.
-4. A comparison reads signatures in batches. The first batch, one bit of each
-   value, and the set sizes are compared where members and pivots are joined,
-   so most pairs that are not alike are never made. Then whole values follow:
-   with a uniform prior and m of n equal, the similarity is Beta(m + 1,
-   n - m + 1); a pair goes when the posterior probability of reaching the
-   threshold falls under ``miss``.
-5. Survivors are verified on their full shingle sets; only those are links.
+3. Two rounds meet candidates star by star: a bucket's members are compared
+   with one pivot. The first looks at the buckets of two bands alone, which joins
+   most large groups before the other bands are looked at. Members that became
+   connected need no further comparison.
+4. What is left in buckets with more than one component is compared in blocks of
+   at most about BLOCK members: a task holds two blocks and compares them, so a
+   candidate pair is no row, and each member travels once a pair of blocks. A
+   bucket's largest component meets only the bucket's other members. A pair is
+   compared in the first band that it shares; no candidate pair is lost.
+5. A comparison reads signatures in batches. In the star rounds the first batch,
+   one bit of each value, and the set sizes are compared where members and pivots
+   are joined. Then whole values follow: with a uniform prior and m of n equal,
+   the similarity is Beta(m + 1, n - m + 1); a pair goes when the posterior
+   probability of reaching the threshold falls under ``miss``.
+6. Survivors are verified on their full shingle sets; only those are links.
    Components of links come from ``components``, round by round on components
    already found.
 
@@ -46,6 +47,8 @@ ROWS = 5  #: signature values in a band
 STEP = 20  #: signature values compared at a time
 BITS = 60  #: one-bit values in a long
 FIRST_BANDS = 2  #: bands of the first round
+BLOCK = 256  #: members of a bucket in a block
+BLOCK_SHINGLES = 1 << 21  #: shingles of a block's members
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -167,11 +170,11 @@ def with_row(docs: DataFrame) -> DataFrame:
 
 
 def bucket_members(classes: DataFrame, bands: int) -> DataFrame:
-    """(bucket, early, key, n_shingles, b0, b1) of the buckets with more than one
-    class; ``early`` tells the bands of the first round."""
+    """(bucket, band, key, n_shingles, b0, b1) of the buckets with more than one
+    class."""
     width = 4 * ROWS
     hashed = F.array(*[F.xxhash64(F.substring("sig", i * width + 1, width), F.lit(i)) for i in range(bands)])
-    rows = classes.select(*SIDE, F.posexplode(hashed).alias("band", "bucket")).withColumn("early", F.col("band") < FIRST_BANDS).drop("band")
+    rows = classes.select(*SIDE, F.posexplode(hashed).alias("band", "bucket"))
     shared = rows.groupBy("bucket").agg(F.min("key").alias("lo"), F.max("key").alias("hi")).where(F.col("lo") != F.col("hi")).select("bucket")
     return rows.join(shared, "bucket")
 
@@ -222,12 +225,10 @@ def verify(pairs: DataFrame, chosen: DataFrame, k: int, percent: int) -> DataFra
     return pairs.join(text_a, "a").join(text_b, "b").mapInArrow(run, "a binary, b binary")
 
 
-def next_pairs(members: DataFrame, pivots_each: int, percent: int, bits_apart: int) -> tuple[DataFrame, DataFrame]:
-    """Pairs (a, b) of this round's pivots with members of other components in
-    their buckets, unless sizes or bits rule them out, and the pivots (bucket,
-    key)."""
-    slot = F.pmod(F.xxhash64("key"), F.lit(pivots_each))
-    pivots = members.groupBy("bucket", slot.alias("slot")).agg(F.min(F.struct(*SIDE, "root")).alias("p"))
+def star_pairs(members: DataFrame, percent: int, bits_apart: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b) of each bucket's pivot with members of other components,
+    unless sizes or bits rule them out, and the pivots (bucket, key)."""
+    pivots = members.groupBy("bucket").agg(F.min(F.struct(*SIDE, "root")).alias("p"))
     pivots = pivots.select("bucket", F.col("p.key").alias("pivot"), *[F.col(f"p.{c}").alias(f"p_{c}") for c in (*SIDE[1:], "root")])
     apart = F.bit_count(F.col("b0").bitwiseXOR(F.col("p_b0"))) + F.bit_count(F.col("b1").bitwiseXOR(F.col("p_b1")))
     close = 100 * F.least("n_shingles", "p_n_shingles") >= percent * F.greatest("n_shingles", "p_n_shingles")
@@ -237,6 +238,144 @@ def next_pairs(members: DataFrame, pivots_each: int, percent: int, bits_apart: i
     return pairs, pivots.select("bucket", F.col("pivot").alias("key"))
 
 
+GROUP = ("bucket", "lo", "hi")
+
+
+def in_blocks(members: DataFrame) -> DataFrame:
+    """(bucket, lo, hi, slot, band, key, n_shingles, root): the members of mixed
+    buckets, once for each pair of blocks that they take part in. Blocks of a
+    bucket's largest component have slots under 0 and meet only the others."""
+    size = [F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("w")]
+    top = members.groupBy("bucket", "root").agg(*size).groupBy("bucket").agg(
+        F.sum("n").alias("n"), F.sum("w").alias("w"), F.max(F.struct("n", "w", "root")).alias("top")
+    )
+
+    def blocks(n, w):
+        return F.ceil(F.greatest(n / F.lit(BLOCK), w / F.lit(BLOCK_SHINGLES)))
+
+    mixed = top.where(F.col("n") > F.col("top.n")).select(
+        "bucket",
+        F.col("top.root").alias("t_root"),
+        blocks(F.col("top.n"), F.col("top.w")).alias("n_top"),
+        blocks(F.col("n") - F.col("top.n"), F.col("w") - F.col("top.w")).alias("n_rest"),
+    )
+    spread = F.xxhash64("key", F.lit(7))
+    slot = F.when(F.col("root") == F.col("t_root"), -1 - F.pmod(spread, F.col("n_top"))).otherwise(F.pmod(spread, F.col("n_rest")))
+    least = F.when(F.col("slot") < 0, F.lit(0)).otherwise(-F.col("n_top")).cast("long")
+    return (
+        members.join(mixed, "bucket")
+        .withColumn("slot", slot.cast("long"))
+        .withColumn("other", F.explode(F.sequence(least, F.col("n_rest").cast("long") - 1)))
+        .select("bucket", F.least("slot", "other").alias("lo"), F.greatest("slot", "other").alias("hi"), "slot", "band", "key", "n_shingles", "root")
+    )
+
+
+def by_group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of each (bucket, lo, hi), from batches in that order."""
+    held, name = [], None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        ids = np.stack([batch[c].to_numpy(zero_copy_only=False) for c in GROUP])
+        cuts = [0, *(np.flatnonzero((ids[:, 1:] != ids[:, :-1]).any(axis=0)) + 1), batch.num_rows]
+        for at, end in zip(cuts, cuts[1:]):
+            new = tuple(ids[:, at])
+            if held and new != name:
+                yield pa.Table.from_batches(held)
+                held = []
+            name = new
+            held.append(batch.slice(at, end - at))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def block_pairs(group: pa.Table, threshold: float, percent: int, miss: float) -> tuple[np.ndarray, np.ndarray]:
+    """Rows (x, y) of a pair of blocks that signatures don't rule out: of other
+    components, of like sizes, in the first band that they share."""
+    n = group.num_rows
+    sigs = np.frombuffer(b"".join(group["sig"].to_pylist()), "<u4").reshape(n, -1)
+    sizes, slots = group["n_shingles"].to_numpy(), group["slot"].to_numpy()
+    roots = np.unique(np.array(group["root"].to_pylist(), object), return_inverse=True)[1]
+    earlier = sigs[:, : int(group["band"][0].as_py()) * ROWS].reshape(n, -1, ROWS)
+    one_block = group["lo"][0].as_py() == group["hi"][0].as_py()
+    xs, ys = [], []
+    for x in range(n - 1):
+        y = np.arange(x + 1, n)
+        keep = (roots[y] != roots[x]) & (100 * np.minimum(sizes[y], sizes[x]) >= percent * np.maximum(sizes[y], sizes[x]))
+        y = y[keep if one_block else keep & (slots[y] != slots[x])]
+        if len(y):
+            y = y[~(earlier[y] == earlier[x]).all(axis=2).any(axis=1)]
+        if len(y):
+            y = y[survivors(np.broadcast_to(sigs[x], (len(y), sigs.shape[1])), sigs[y], threshold, miss)]
+            xs.append(np.full(len(y), x))
+            ys.append(y)
+    none = np.empty(0, np.int64)
+    return (np.concatenate(xs), np.concatenate(ys)) if xs else (none, none)
+
+
+def prune_blocks(grouped: DataFrame, chosen: DataFrame, percent: int, miss: float) -> DataFrame:
+    """(bucket, lo, hi, a, b, ra, rb): pairs that the signatures don't rule out,
+    with their components."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in by_group(batches):
+            x, y = (pa.array(i) for i in block_pairs(group, percent / 100, percent, miss))
+            if len(x):
+                cols = [group[c].take(x) for c in GROUP] + [group[c].take(i) for c in ("key", "root") for i in (x, y)]
+                yield from pa.table(cols, [*GROUP, "a", "b", "ra", "rb"]).to_batches(4096)
+
+    rows = grouped.join(chosen.select("key", "sig"), "key").repartition(*GROUP).sortWithinPartitions(*GROUP)
+    return rows.mapInArrow(run, "bucket long, lo long, hi long, a binary, b binary, ra binary, rb binary")
+
+
+def verify_blocks(pairs: DataFrame, chosen: DataFrame, k: int, percent: int) -> DataFrame:
+    """Linked components (a, b) of the pairs of ``prune_blocks``. A text travels
+    once to each pair of blocks where it has a pair; components that the same
+    blocks already link are not compared again."""
+    ends = pairs.select(*GROUP, F.explode(F.array("a", "b")).alias("key")).distinct()
+    nothing = F.lit(None)
+    texts = ends.join(chosen.select("key", "text"), "key").select(
+        *GROUP, F.col("key").alias("a"), nothing.cast("binary").alias("b"), nothing.cast("binary").alias("ra"), nothing.cast("binary").alias("rb"), "text"
+    )
+    rows = texts.unionByName(pairs.withColumn("text", nothing.cast("string")))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in by_group(batches):
+            sets, parent, found = {}, {}, []
+
+            def find(r):
+                while parent.get(r, r) != r:
+                    r = parent[r]
+                return r
+
+            for batch in group.to_batches():
+                for a, b, ra, rb, text in zip(*(batch[c].to_pylist() for c in ("a", "b", "ra", "rb", "text"))):
+                    if b is None:
+                        sets[a] = shingle_set(text, k)
+                        continue
+                    pa_, pb = find(ra), find(rb)
+                    if pa_ != pb and linked(sets[a], sets[b], percent):
+                        parent[pa_] = pb
+                        found.append((ra, rb))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in zip(*found)], ["a", "b"])
+
+    return rows.repartition(*GROUP).sortWithinPartitions(*GROUP, F.col("b").isNotNull()).mapInArrow(run, "a binary, b binary")
+
+
+def joined(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """``roots`` (key, root) after linking the components (a, b)."""
+    moved = components(links)
+    return cut_lineage(roots.join(moved, roots["root"] == moved["node"], "left").select("key", F.coalesce(moved["root"], roots["root"]).alias("root")))
+
+
+def unfinished(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """``members`` of the buckets that hold more than one component, with their roots."""
+    rest = members.drop("root").join(roots, "key")
+    mixed = rest.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where(F.col("lo") != F.col("hi")).select("bucket")
+    return cut_lineage(rest.join(mixed, "bucket"))
+
+
 def link_classes(docs: DataFrame, classes: DataFrame, k: int, percent: int, bands: int, miss: float) -> DataFrame | None:
     """(key, root) of classes in shared buckets; None if there are none."""
     bits_apart = most_unequal_bits(min(2 * BITS, bands * ROWS), percent / 100, miss)
@@ -244,25 +383,18 @@ def link_classes(docs: DataFrame, classes: DataFrame, k: int, percent: int, band
     if members.isEmpty():
         return None
     chosen = candidates(members, classes, docs)
-    roots, pivots_each, early = None, 1, True
-    while early or not members.isEmpty():
-        pairs, pivots = next_pairs(members.where("early") if early else members, pivots_each, percent, bits_apart)
+    roots = chosen.select("key", F.col("key").alias("root"))
+    for early in (True, False):
+        pairs, pivots = star_pairs(members.where(F.col("band") < FIRST_BANDS) if early else members, percent, bits_apart)
         links = verify(prune(pairs, chosen, percent / 100, miss), chosen, k, percent)
-        known = chosen.select("key", F.col("key").alias("root")) if roots is None else roots
-        ends = links.join(known.select(F.col("key").alias("a"), F.col("root").alias("ra")), "a").join(
-            known.select(F.col("key").alias("b"), F.col("root").alias("rb")), "b"
-        )
-        moved = components(ends.select(F.col("ra").alias("a"), F.col("rb").alias("b")))
-        roots = cut_lineage(
-            known.join(moved, known["root"] == moved["node"], "left").select("key", F.coalesce(moved["root"], known["root"]).alias("root"))
+        ends = links.join(roots.select(F.col("key").alias("a"), F.col("root").alias("ra")), "a").join(
+            roots.select(F.col("key").alias("b"), F.col("root").alias("rb")), "b"
         )
-        # whoever was a pivot has met its whole bucket; a bucket is done when the rest is one component
-        rest = members.join(pivots, ["bucket", "key"], "left_anti").drop("root").join(roots, "key")
-        mixed = rest.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where(F.col("lo") != F.col("hi")).select("bucket")
-        members = cut_lineage(rest.join(mixed, "bucket"))
-        pivots_each = 1 if early else 16 * pivots_each
-        early = False
-    return roots
+        roots = joined(roots, ends.select(F.col("ra").alias("a"), F.col("rb").alias("b")))
+        # whoever was a pivot has met its whole bucket
+        members = unfinished(members.join(pivots, ["bucket", "key"], "left_anti"), roots)
+    pairs = cut_lineage(prune_blocks(in_blocks(members), chosen, percent, miss))
+    return joined(roots, verify_blocks(pairs, chosen, k, percent))
 
 
 def with_components(docs: DataFrame, k: int, percent: int, miss: float) -> DataFrame:

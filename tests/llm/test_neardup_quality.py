@@ -81,6 +81,19 @@ def test_equals_all_pairs(spark, k, percent):
     assert collections.Counter(tuple(r) for r in got.drop("row").collect()) == brute(rows, k, percent)
 
 
+def test_many_blocks_of_a_bucket(spark, monkeypatch):
+    """Copies of a passage that are alike, but mostly too little to be linked, in
+    blocks of three."""
+    monkeypatch.setattr(neardup, "BLOCK", 3)
+    rng = random.Random(8)
+    base = [f"w{i}" for i in range(200)]
+    rows = [(i, edited(base, rng, rng.randrange(3, 12))) for i in range(60)]
+    want = brute(rows, 3, 85)
+    assert 3 < len({c for _, _, c, _ in want}) < 57
+    got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), 3, 85)
+    assert collections.Counter(tuple(r) for r in got.drop("row").collect()) == want
+
+
 def test_given_documents_equal_all_pairs(spark):
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     assert collections.Counter(tuple(r) for r in op2_near_duplicates(spark, SF).collect()) == brute(rows, 3, 85)
