@@ -47,7 +47,7 @@ ROWS = 5  #: signature values in a band
 STEP = 20  #: signature values compared at a time
 BITS = 60  #: one-bit values in a long
 FIRST_BANDS = 2  #: bands of the first round
-BLOCK = 256  #: members of a bucket in a block
+BLOCK = 2048  #: members of a bucket in a block
 BLOCK_SHINGLES = 1 << 21  #: shingles of a block's members
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -314,53 +314,56 @@ def block_pairs(group: pa.Table, threshold: float, percent: int, miss: float) ->
 
 
 def prune_blocks(grouped: DataFrame, chosen: DataFrame, percent: int, miss: float) -> DataFrame:
-    """(bucket, lo, hi, a, b, ra, rb): pairs that the signatures don't rule out,
-    with their components."""
+    """(bucket, lo, hi, a, bs): the members b that the signatures don't rule out
+    as links of a."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in by_group(batches):
-            x, y = (pa.array(i) for i in block_pairs(group, percent / 100, percent, miss))
+            x, y = block_pairs(group, percent / 100, percent, miss)
             if len(x):
-                cols = [group[c].take(x) for c in GROUP] + [group[c].take(i) for c in ("key", "root") for i in (x, y)]
-                yield from pa.table(cols, [*GROUP, "a", "b", "ra", "rb"]).to_batches(4096)
+                starts = np.flatnonzero(np.r_[True, x[1:] != x[:-1]])
+                firsts = pa.array(x[starts])
+                bs = pa.ListArray.from_arrays(pa.array(np.r_[starts, len(x)], pa.int32()), group["key"].take(pa.array(y)).combine_chunks())
+                cols = [group[c].take(firsts) for c in (*GROUP, "key")]
+                yield from pa.table([*cols, bs], [*GROUP, "a", "bs"]).to_batches(64)
 
     rows = grouped.join(chosen.select("key", "sig"), "key").repartition(*GROUP).sortWithinPartitions(*GROUP)
-    return rows.mapInArrow(run, "bucket long, lo long, hi long, a binary, b binary, ra binary, rb binary")
+    return rows.mapInArrow(run, "bucket long, lo long, hi long, a binary, bs array<binary>")
 
 
-def verify_blocks(pairs: DataFrame, chosen: DataFrame, k: int, percent: int) -> DataFrame:
+def verify_blocks(pairs: DataFrame, roots: DataFrame, chosen: DataFrame, k: int, percent: int) -> DataFrame:
     """Linked components (a, b) of the pairs of ``prune_blocks``. A text travels
     once to each pair of blocks where it has a pair; components that the same
     blocks already link are not compared again."""
-    ends = pairs.select(*GROUP, F.explode(F.array("a", "b")).alias("key")).distinct()
-    nothing = F.lit(None)
-    texts = ends.join(chosen.select("key", "text"), "key").select(
-        *GROUP, F.col("key").alias("a"), nothing.cast("binary").alias("b"), nothing.cast("binary").alias("ra"), nothing.cast("binary").alias("rb"), "text"
-    )
-    rows = texts.unionByName(pairs.withColumn("text", nothing.cast("string")))
+    ends = pairs.select(*GROUP, F.explode(F.concat(F.array("a"), "bs")).alias("key")).distinct()
+    texts = ends.join(chosen.select("key", "text"), "key").join(roots, "key").withColumnRenamed("key", "a")
+    rows = texts.withColumn("bs", F.lit(None).cast("array<binary>")).unionByName(pairs, allowMissingColumns=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in by_group(batches):
-            sets, parent, found = {}, {}, []
+            sets, root, above, found = {}, {}, {}, []
 
-            def find(r):
-                while parent.get(r, r) != r:
-                    r = parent[r]
+            def top(key):
+                r = root[key]
+                while r in above:
+                    r = above[r]
                 return r
 
-            for batch in group.to_batches():
-                for a, b, ra, rb, text in zip(*(batch[c].to_pylist() for c in ("a", "b", "ra", "rb", "text"))):
-                    if b is None:
-                        sets[a] = shingle_set(text, k)
+            for batch in group.to_batches(64):
+                for a, bs, r, text in zip(*(batch[c].to_pylist() for c in ("a", "bs", "root", "text"))):
+                    if bs is None:
+                        sets[a], root[a] = shingle_set(text, k), r
                         continue
-                    pa_, pb = find(ra), find(rb)
-                    if pa_ != pb and linked(sets[a], sets[b], percent):
-                        parent[pa_] = pb
-                        found.append((ra, rb))
+                    for b in bs:
+                        ends = top(a), top(b)
+                        if ends[0] != ends[1] and linked(sets[a], sets[b], percent):
+                            above[ends[0]] = ends[1]
+                            found.append(ends)
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in zip(*found)], ["a", "b"])
 
-    return rows.repartition(*GROUP).sortWithinPartitions(*GROUP, F.col("b").isNotNull()).mapInArrow(run, "a binary, b binary")
+    order = rows.repartition(*GROUP).sortWithinPartitions(*GROUP, F.col("bs").isNotNull())
+    return order.mapInArrow(run, "a binary, b binary")
 
 
 def joined(roots: DataFrame, links: DataFrame) -> DataFrame:
@@ -394,7 +397,7 @@ def link_classes(docs: DataFrame, classes: DataFrame, k: int, percent: int, band
         # whoever was a pivot has met its whole bucket
         members = unfinished(members.join(pivots, ["bucket", "key"], "left_anti"), roots)
     pairs = cut_lineage(prune_blocks(in_blocks(members), chosen, percent, miss))
-    return joined(roots, verify_blocks(pairs, chosen, k, percent))
+    return joined(roots, verify_blocks(pairs, roots, chosen, k, percent))
 
 
 def with_components(docs: DataFrame, k: int, percent: int, miss: float) -> DataFrame:
