@@ -127,7 +127,8 @@ ORACLE: dict[str, str] = {
                 FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS c FROM grams) WHERE c > 1),
              repeats AS (SELECT doc_id, sum(least(8, coalesce(nxt - i, 8))) AS n FROM twice GROUP BY doc_id),
              line AS (SELECT doc_id, host, body, x, n FROM (SELECT doc_id, host, body,
-                    trim(regexp_replace(lower(l), '[\x20\x09-\x0D0-9]+', ' ', 'g')) AS x,
+                    trim(CASE WHEN regexp_matches(l, '\p{L}') THEN regexp_replace(lower(l), '[\x20\x09-\x0D0-9]+', ' ', 'g')
+                        ELSE regexp_replace(l, '[\x20\x09-\x0D]+', ' ', 'g') END) AS x,
                     len(list_filter(regexp_split_to_array(l, '[\x20\x09-\x0D]+'), lambda w: w <> '')) AS n
                 FROM (SELECT doc_id, host, body, unnest(lines) AS l FROM d))),
              frequent AS (SELECT host, x, min(doc_id) AS keeper FROM line GROUP BY host, x HAVING count(DISTINCT body) > 20),

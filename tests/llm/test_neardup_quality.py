@@ -136,7 +136,8 @@ def repeats_by_hand(words):
 
 
 def norm(line):
-    return re.sub(r"[\x20\x09-\x0D0-9]+", " ", line.lower()).strip(" ")
+    lettered = any(c.isalpha() for c in line)
+    return re.sub(r"[\x20\x09-\x0D0-9]+" if lettered else r"[\x20\x09-\x0D]+", " ", line.lower()).strip(" ")
 
 
 def verdicts_by_hand(rows, max_docs, min_left):
@@ -164,7 +165,7 @@ NAMES = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repea
 
 def test_quality_by_hand(spark):
     rng = random.Random(4)
-    common = ["Boiler  plate LINE 12 of the site with quite a few words in it", "all rights reserved"]
+    common = ["Boiler  plate LINE 12 of the site with quite a few words in it", "all rights reserved", "1998 - 2004"]
     rows = []
     for i in range(60):
         lines = [" ".join(f"w{rng.randrange(400)}" for _ in range(rng.randrange(1, 14))) for _ in range(rng.randrange(1, 6))]
