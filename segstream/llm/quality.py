@@ -3,20 +3,28 @@
 Base rules look at one document: too few words, or too many words inside
 8-word windows that the text repeats. The cross-document rule hashes each
 normalised line, counts the distinct documents (distinct texts, so exact copies
-count once) that hold it on a host, and removes lines held by more than
-``max_docs`` of them. The document with the smallest doc_id that holds a line
-keeps it, so that frequent text never vanishes altogether. A document left with
-less than ``min_left`` of its words is depleted and rejected.
+count once) that hold it on a host, and removes lines above the limit: a line of
+up to ``line_words`` words may stand in ``percent`` of the host's distinct texts,
+a longer one in as many times fewer as it is longer, since long lines repeat by
+chance less often. Up to ``min_docs`` texts are always allowed. The limit is a
+share, so it acts alike on hosts and tables of all sizes. The document with the
+smallest doc_id that holds a line keeps it, so that frequent text never vanishes
+altogether. A document left with less than ``min_left`` of its words is depleted
+and rejected.
 
 Plan: one scan computes the base columns and the line hashes of each document
 and is checkpointed without the texts. The counts are a two-step aggregate
 (a hot line is combined before the shuffle); only lines above the limit join
-back, on (host, line).
+back, on (host, line) and a salt of the document, so that a line of a third of
+all documents is dealt over ``SALTS`` tasks. The texts of a host are counted in
+the same way and meet its lines over salts, too. A host has at most
+100 / ``percent`` x its mean words a document lines above the limit.
 
 Defined results: a null or empty text has no words and fails; a null host is
-the host ''; lines without a word are ignored; repeated (doc_id, text) rows get
-equal results; an empty table gives an empty result; input columns named like
-an output give way to it.
+the host ''; lines without a word are ignored; a line that differs in digits only
+is as long as its shortest form; repeated (doc_id, text) rows get equal results; a
+very long text or line is one row like any other, hashed whole; an empty table gives
+an empty result; input columns named like an output give way to it.
 """
 
 from __future__ import annotations
@@ -27,6 +35,7 @@ from pyspark.sql import functions as F
 from segstream.llm.common import cut_lineage
 
 WINDOW = 8
+SALTS = 16
 SPACE = r"[\x20\x09-\x0D]+"
 
 
@@ -92,24 +101,37 @@ def measure(docs: DataFrame) -> DataFrame:
     )
 
 
-def frequent_lines(measured: DataFrame, max_docs: int) -> DataFrame:
-    """(host, h, keeper): lines that more than ``max_docs`` distinct texts of a
-    host hold, and the smallest doc_id that does."""
-    held = measured.select("host", "doc_id", "text_hash", F.explode(F.array_distinct("lines.h")).alias("h"))
-    return (
-        held.groupBy("host", "h")
-        .agg(F.count_distinct("text_hash").alias("docs"), F.min("doc_id").alias("keeper"))
-        .where(F.col("docs") > max_docs)
-        .select("host", "h", "keeper")
+def salts() -> Column:
+    return F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+
+
+def salt_of(*columns: str) -> Column:
+    return F.pmod(F.xxhash64(*columns), F.lit(SALTS)).cast("int")
+
+
+def frequent_lines(measured: DataFrame, percent: int, line_words: int, min_docs: int) -> DataFrame:
+    """(host, h, keeper): lines that too many distinct texts of a host hold, and
+    the smallest doc_id that does."""
+    texts = measured.groupBy("host").agg(F.count_distinct("text_hash").alias("texts")).select("host", "texts", salts().alias("salt"))
+    held = measured.select("host", "doc_id", "text_hash", F.explode(F.array_distinct("lines")).alias("line"))
+    often = (
+        held.select("host", "doc_id", "text_hash", "line.h", "line.n")
+        .groupBy("host", "h")
+        .agg(F.count_distinct("text_hash").alias("docs"), F.min("doc_id").alias("keeper"), F.min("n").alias("n"))
+        .where(F.col("docs") > min_docs)
+        .withColumn("salt", salt_of("h"))
     )
+    above = 100 * F.col("docs") * F.greatest(F.col("n"), F.lit(line_words)) > percent * line_words * F.col("texts")
+    return often.join(texts, ["host", "salt"]).where(above).select("host", "h", "keeper")
 
 
-def lines_to_remove(measured: DataFrame, max_docs: int) -> DataFrame:
+def lines_to_remove(measured: DataFrame, percent: int, line_words: int, min_docs: int) -> DataFrame:
     """(doc_id, text_hash, removed words, line hashes) of documents that lose lines."""
-    held = measured.select("doc_id", "text_hash", "host", F.explode("lines").alias("line")).select("doc_id", "text_hash", "host", "line.h", "line.n")
-    frequent = frequent_lines(measured, max_docs)
+    held = measured.select("doc_id", "text_hash", "host", salt_of("doc_id", "text_hash").alias("salt"), F.explode("lines").alias("line"))
+    frequent = frequent_lines(measured, percent, line_words, min_docs).withColumn("salt", salts())
     return (
-        held.join(frequent, ["host", "h"])
+        held.select("doc_id", "text_hash", "host", "salt", "line.h", "line.n")
+        .join(frequent, ["host", "h", "salt"])
         .where(~F.col("doc_id").eqNullSafe(F.col("keeper")))
         .groupBy("doc_id", "text_hash", "host")
         .agg(F.sum("n").alias("n_removed"), F.collect_set("h").alias("removed"))
@@ -118,10 +140,10 @@ def lines_to_remove(measured: DataFrame, max_docs: int) -> DataFrame:
     )
 
 
-def judged(docs: DataFrame, max_docs: int = 20, min_left: float = 0.3) -> DataFrame:
+def judged(docs: DataFrame, percent: int = 1, line_words: int = 10, min_docs: int = 3, min_left: float = 0.5) -> DataFrame:
     """The verdict of each row of ``docs``: base columns, words removed, kept."""
     measured = cut_lineage(measure(docs))
-    lost = lines_to_remove(measured.dropDuplicates(["doc_id", "text_hash", "host"]), max_docs)
+    lost = lines_to_remove(measured.dropDuplicates(["doc_id", "text_hash", "host"]), percent, line_words, min_docs)
     left = F.col("n_words") - F.coalesce(F.col("n_removed"), F.lit(0))
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     return (
@@ -133,10 +155,10 @@ def judged(docs: DataFrame, max_docs: int = 20, min_left: float = 0.3) -> DataFr
     )
 
 
-def filter_documents(docs: DataFrame, max_docs: int = 20, min_left: float = 0.3) -> DataFrame:
+def filter_documents(docs: DataFrame, percent: int = 1, line_words: int = 10, min_docs: int = 3, min_left: float = 0.5) -> DataFrame:
     """The kept rows of ``docs`` with their frequent lines removed; same columns.
     A numeric ``n_chars`` column is measured again."""
-    verdicts = judged(docs, max_docs, min_left).where("kept").select("doc_id", "text_hash", "host", "removed").dropDuplicates(["doc_id", "text_hash", "host"])
+    verdicts = judged(docs, percent, line_words, min_docs, min_left).where("kept").select("doc_id", "text_hash", "host", "removed").dropDuplicates(["doc_id", "text_hash", "host"])
     v = verdicts.toDF("__llm_id", "__llm_hash", "__llm_host", "__llm_removed")
     body, host = F.coalesce(F.col("text"), F.lit("")), F.coalesce(F.col("source"), F.lit(""))
     same = F.col("doc_id").eqNullSafe(F.col("__llm_id")) & (F.xxhash64(body) == F.col("__llm_hash")) & (host == F.col("__llm_host"))

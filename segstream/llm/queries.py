@@ -131,7 +131,10 @@ ORACLE: dict[str, str] = {
                         ELSE regexp_replace(l, '[\x20\x09-\x0D]+', ' ', 'g') END) AS x,
                     len(list_filter(regexp_split_to_array(l, '[\x20\x09-\x0D]+'), lambda w: w <> '')) AS n
                 FROM (SELECT doc_id, host, body, unnest(lines) AS l FROM d))),
-             frequent AS (SELECT host, x, min(doc_id) AS keeper FROM line GROUP BY host, x HAVING count(DISTINCT body) > 20),
+             size AS (SELECT host, count(DISTINCT body) AS texts FROM d GROUP BY host),
+             often AS (SELECT host, x, min(doc_id) AS keeper, count(DISTINCT body) AS docs, min(n) AS n FROM line GROUP BY host, x),
+             frequent AS (SELECT host, x, keeper FROM often JOIN size USING (host)
+                WHERE docs > 3 AND 100 * docs * greatest(n, 10) > 1 * 10 * texts),
              lost AS (SELECT doc_id, sum(n) AS n FROM line JOIN frequent USING (host, x) WHERE doc_id <> keeper GROUP BY doc_id),
              base AS (SELECT doc_id, len(words)::BIGINT AS n_words, length(array_to_string(words, ''))::BIGINT AS word_chars,
                 length(regexp_replace(body, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols,
@@ -140,7 +143,7 @@ ORACLE: dict[str, str] = {
                 FROM d LEFT JOIN repeats USING (doc_id) LEFT JOIN lost USING (doc_id))
         SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
             n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
-            NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND n_words - n_lost >= 0.3 * n_words AS kept
+            NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND n_words - n_lost >= 0.5 * n_words AS kept
         FROM base""",
     "op11_fixed_anchors": r"""
         WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents),

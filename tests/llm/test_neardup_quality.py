@@ -140,19 +140,26 @@ def norm(line):
     return re.sub(r"[\x20\x09-\x0D0-9]+" if lettered else r"[\x20\x09-\x0D]+", " ", line.lower()).strip(" ")
 
 
-def verdicts_by_hand(rows, max_docs, min_left):
+def verdicts_by_hand(rows, percent=1, line_words=10, min_docs=3, min_left=0.5):
     rows = [(d, t or "", s or "") for d, t, s in rows]
-    texts, keeper = collections.defaultdict(set), {}
+    texts, keeper, host, short = collections.defaultdict(set), {}, collections.defaultdict(set), {}
     for d, t, s in rows:
+        host[s].add(t)
         for line in t.split("\n"):
             if WORD.search(line):
                 texts[s, norm(line)].add(t)
+                short[s, norm(line)] = min(len(WORD.findall(line)), short.get((s, norm(line)), 10**9))
                 old = keeper.get((s, norm(line)))
                 keeper[s, norm(line)] = d if old is None else old if d is None else min(d, old)
+
+    def above(key):
+        n = len(texts[key])
+        return n > min_docs and n > percent / 100 * len(host[key[0]]) * line_words / max(line_words, short[key])
+
     out = collections.Counter()
     for d, t, s in rows:
         words, lines = WORD.findall(t), [x for x in t.split("\n") if WORD.search(x)]
-        lost = sum(len(WORD.findall(x)) for x in lines if len(texts[s, norm(x)]) > max_docs and keeper[s, norm(x)] != d)
+        lost = sum(len(WORD.findall(x)) for x in lines if above((s, norm(x))) and keeper[s, norm(x)] != d)
         rep = repeats_by_hand(words)
         failed = len(words) < 20 or 100 * rep > 30 * len(words)
         kept = not failed and len(words) - lost >= min_left * len(words)
@@ -174,11 +181,12 @@ def test_quality_by_hand(spark):
         rows.append((i, "\n".join(lines) + rng.choice(["", "\n", " #$|"]), f"s{i % 2}"))
     rows += rows[:5] + [(100, None, "s0"), (101, "", None), (102, "x " * 30, "s1")]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
-    got = quality.judged(df, max_docs=5, min_left=0.6).select(*NAMES).collect()
-    want = verdicts_by_hand(rows, 5, 0.6)
+    limits = {"percent": 18, "line_words": 8, "min_docs": 2, "min_left": 0.6}
+    got = quality.judged(df, **limits).select(*NAMES).collect()
+    want = verdicts_by_hand(rows, **limits)
     assert collections.Counter(tuple(r) for r in got) == want
     assert {k[-1] for k in want if not k[-2]} == {True, False}  # both verdicts of the method occur
-    out = quality.filter_documents(df, max_docs=5, min_left=0.6)
+    out = quality.filter_documents(df, **limits)
     assert out.columns == df.columns
     assert collections.Counter(r["doc_id"] for r in out.collect()) == collections.Counter({k[0]: n for k, n in want.items() if k[-1]})
     held = collections.defaultdict(set)
@@ -188,10 +196,31 @@ def test_quality_by_hand(spark):
     assert all(len(held[s, norm(common[0])]) <= 1 for s in ("s0", "s1"))
 
 
+def test_quality_limits_in_use(spark):
+    """A host of 400 texts and one of 20 under the production limits: a short line
+    in 4 of 400 texts stays and in 5 goes, a line of 40 words goes from 4 texts on;
+    documents that are mostly such a line are rejected but for its keeper."""
+    rng = random.Random(3)
+    own = lambda n: " ".join("".join(rng.choices("abcdefghij", k=9)) for _ in range(n))
+    long3, long4, foot4, foot5, notice = own(40), own(40), own(6), own(6), own(30)
+    rows = []
+    for i in range(400):
+        extra = [x for x, n in ((long3, 3), (long4, 4), (foot4, 4), (foot5, 5)) if i < n] + [notice] * (390 <= i)
+        rows.append((i, "\n".join([own(90 if i < 390 else 12), *extra]), "large"))
+    rows += [(1000 + i, "\n".join([own(30), *([foot5] if i < 4 else [])]), "small") for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    got = quality.judged(df).select(*NAMES).collect()
+    assert collections.Counter(tuple(r) for r in got) == verdicts_by_hand(rows)
+    assert {r["doc_id"] for r in got if not r["kept"] and not r["base_failed"]} == set(range(391, 400))
+    left = {r["doc_id"]: r["text"].split("\n") for r in quality.filter_documents(df).collect()}
+    assert [sum(x in v for d, v in left.items() if d < 1000) for x in (long3, long4, foot4, foot5, notice)] == [3, 1, 4, 1, 1]
+    assert sum(foot5 in v for d, v in left.items() if d >= 1000) == 1
+
+
 def test_quality_odd_rows(docs, no_docs):
     rows = [(r["doc_id"], r["text"], r["source"]) for r in docs.collect()]
     got = quality.judged(docs).select(*NAMES).collect()
-    assert collections.Counter(tuple(r) for r in got) == verdicts_by_hand(rows, 20, 0.3)
+    assert collections.Counter(tuple(r) for r in got) == verdicts_by_hand(rows)
     assert quality.filter_documents(docs).columns == docs.columns
     assert quality.judged(no_docs).collect() == [] and quality.filter_documents(no_docs).collect() == []
 
