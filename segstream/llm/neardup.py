@@ -315,7 +315,7 @@ def block_pairs(group: pa.Table, threshold: float, percent: int, miss: float) ->
 
 def prune_blocks(grouped: DataFrame, chosen: DataFrame, percent: int, miss: float) -> DataFrame:
     """(bucket, lo, hi, a, bs): the members b that the signatures don't rule out
-    as links of a."""
+    as links of a; a member that is only a b has a row of its own, bs null."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in by_group(batches):
@@ -324,8 +324,10 @@ def prune_blocks(grouped: DataFrame, chosen: DataFrame, percent: int, miss: floa
                 starts = np.flatnonzero(np.r_[True, x[1:] != x[:-1]])
                 firsts = pa.array(x[starts])
                 bs = pa.ListArray.from_arrays(pa.array(np.r_[starts, len(x)], pa.int32()), group["key"].take(pa.array(y)).combine_chunks())
-                cols = [group[c].take(firsts) for c in (*GROUP, "key")]
-                yield from pa.table([*cols, bs], [*GROUP, "a", "bs"]).to_batches(64)
+                rest = pa.array(np.setdiff1d(y, x))
+                for at, lists in ((firsts, bs), (rest, pa.nulls(len(rest), bs.type))):
+                    cols = [group[c].take(at) for c in (*GROUP, "key")]
+                    yield from pa.table([*cols, lists], [*GROUP, "a", "bs"]).to_batches(64)
 
     rows = grouped.join(chosen.select("key", "sig"), "key").repartition(*GROUP).sortWithinPartitions(*GROUP)
     return rows.mapInArrow(run, "bucket long, lo long, hi long, a binary, bs array<binary>")
@@ -335,9 +337,8 @@ def verify_blocks(pairs: DataFrame, roots: DataFrame, chosen: DataFrame, k: int,
     """Linked components (a, b) of the pairs of ``prune_blocks``. A text travels
     once to each pair of blocks where it has a pair; components that the same
     blocks already link are not compared again."""
-    ends = pairs.select(*GROUP, F.explode(F.concat(F.array("a"), "bs")).alias("key")).distinct()
-    texts = ends.join(chosen.select("key", "text"), "key").join(roots, "key").withColumnRenamed("key", "a")
-    rows = texts.withColumn("bs", F.lit(None).cast("array<binary>")).unionByName(pairs, allowMissingColumns=True)
+    texts = pairs.select(*GROUP, F.col("a").alias("key")).join(chosen.select("key", "text"), "key").join(roots, "key").withColumnRenamed("key", "a")
+    rows = texts.withColumn("bs", F.lit(None).cast("array<binary>")).unionByName(pairs.where("bs IS NOT NULL"), allowMissingColumns=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in by_group(batches):
