@@ -192,7 +192,7 @@ def _batch_ids(budget: int) -> Callable:
     """The micro-batch that takes each event when the whole stream is read under the budget."""
 
     def q(spark, sf_dir):
-        ev = events_stream(spark, sf_dir, N_SEGMENTS)
+        ev = events_stream(spark, sf_dir, N_SEGMENTS).select("segment_id", "offset", "len")
         return batch_ids(ev, {s: 0 for s in range(N_SEGMENTS)}, budget).select("segment_id", "offset", "batch")
 
     q.__name__ = f"q_batch_ids_b{budget}"

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from segstream.functions.routing import KEY_SPACE
 from segstream.operators import ranges as R
+from segstream.operators import batches
 from segstream.operators.batches import batch_ids
 from segstream.operators.maintain import head_cut_frame, retain_appended
 from segstream.operators.offsets import assign_offsets
@@ -134,6 +135,63 @@ def test_batch_ids_equal_walking_the_chain(spark, budget):
         assert got == wanted
 
 
+def walked(rows, start, each):
+    """Batch of each (segment, offset), event by event."""
+    wanted, begin, batch = {}, {}, {}
+    for s, o in sorted(rows):
+        if o >= start[s]:
+            if s not in begin:
+                begin[s], batch[s] = o, 0
+            elif o >= begin[s] + each:
+                begin[s], batch[s] = o, batch[s] + 1
+            wanted[s, o] = batch[s]
+    return wanted
+
+
+@pytest.mark.parametrize("stride, most, budget", [(64, 256, 2), (64, 256, 90), (256, 4096, 400), (64, 64, 3000), (1 << 20, 1 << 24, 60)])
+def test_batch_ids_over_many_strides(spark, monkeypatch, stride, most, budget):
+    """Strides shorter and longer than events and batches; other columns stay."""
+    for name, value in (("STRIDE", stride), ("STRIDE_MOST", most), ("DOORS", 4)):
+        monkeypatch.setattr(batches, name, value)
+    size = F.when(F.col("id") % 53 == 7, 700).otherwise(F.col("id") * F.col("id") % 23).cast("long")
+    df = spark.range(900).select("id", (F.col("id") % 7 % 2).alias("segment_id"), (8 + size).alias("len"))
+    ev = assign_offsets(df, order_by="id", base={0: 1000, 1: 5}).cache()
+    rows = {(r["segment_id"], r["offset"]): r["id"] for r in ev.collect()}
+    start = {0: 1000, 1: 2000}
+    got = batch_ids(ev, start, budget)
+    assert got.columns == [*ev.columns, "batch"]
+    got = got.collect()
+    assert all(rows[r["segment_id"], r["offset"]] == r["id"] for r in got)
+    wanted = walked(rows, start, max(1, budget // 2))
+    assert len(got) == len(wanted) and {(r["segment_id"], r["offset"]): r["batch"] for r in got} == wanted
+
+
+def test_batch_ids_of_events_without_a_length(spark):
+    """They take no bytes, also at the end; without a segment they are no event."""
+    rows = [(0, 0, 9), (0, 9, None), (0, 9, 10), (0, 19, 8), (0, 27, None), (None, 0, None), (1, 0, None)]
+    ev = spark.createDataFrame(rows, "segment_id long, offset long, len long")
+    got = {tuple(r) for r in batch_ids(ev.where("segment_id = 0"), {0: 0}, 10).collect()}
+    assert got == {(0, 0, 9, 0), (0, 9, None, 0), (0, 9, 10, 0), (0, 19, 8, 1), (0, 27, None, 1)}
+    assert [tuple(r) for r in batch_ids(ev, {1: 0}, 10).collect()] == [(1, 0, None, 0)]
+    assert batch_ids(ev.where("segment_id IS NULL"), {0: 0}, 10).isEmpty()
+
+
+def test_batch_ids_keep_few_rows_beside_the_events(spark, monkeypatch):
+    """The tables of the rounds hold doors, not a row for each event and round."""
+    kept, keep = [], batches._Scratch.keep
+
+    def counted(self, df):
+        out = keep(self, df)
+        kept.append(out[0].count())
+        return out
+
+    monkeypatch.setattr(batches._Scratch, "keep", counted)
+    df = spark.range(150_000).select("id", (F.col("id") % 2).alias("segment_id"), (30 + F.col("id") % 5).cast("long").alias("len"))
+    ev = assign_offsets(df, order_by="id")
+    assert batch_ids(ev, {0: 0, 1: 0}, 1000).agg(F.max("batch")).first()[0] > 2000
+    assert sum(kept) < 2000
+
+
 def test_load_stream_equals_load_report_and_scales(spark, root, scratch):
     from segstream.streaming import drain
     from segstream.streaming.load import autoscale_stream, load_stream
