@@ -40,8 +40,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from segstream.llm.common import cut_lineage, fresh_folder
-from segstream.llm.components import components
+from segstream.llm.common import cut_lineage, delete_shared, fresh_folder, written
+from segstream.llm.components import kept_components
 
 ROWS = 5  #: signature values in a band
 STEP = 20  #: signature values compared at a time
@@ -192,16 +192,13 @@ def prune(pairs: DataFrame, chosen: DataFrame, threshold: float, miss: float) ->
     return pairs.join(sig_a, "a").join(sig_b, "b").mapInArrow(run, "a binary, b binary")
 
 
-def candidates(members: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+def candidates(members: DataFrame, classes: DataFrame, docs: DataFrame) -> tuple[DataFrame, str]:
     """(key, sig, text) of the classes in shared buckets, written once: the only
-    time that texts of all documents may be shuffled."""
-    spark = docs.sparkSession
+    time that texts of all documents may be shuffled. And their folder."""
     wanted = classes.join(members.select("key").distinct(), "key").select("key", "sig", F.col("doc_id").alias("c_id"), F.col("row").alias("c_row"))
     rows = with_row(docs)
     found = rows.join(wanted, (rows["row"] == F.col("c_row")) & rows["doc_id"].eqNullSafe(F.col("c_id"))).dropDuplicates(["key"])
-    folder = fresh_folder(spark, "candidates")
-    found.select("key", "sig", "text").write.parquet(folder)
-    return spark.read.schema("key binary, sig binary, text string").parquet(folder)
+    return written(found.select("key", "sig", "text"), "candidates")
 
 
 def verify(pairs: DataFrame, chosen: DataFrame, k: int, percent: int) -> DataFrame:
@@ -367,10 +364,13 @@ def verify_blocks(pairs: DataFrame, roots: DataFrame, chosen: DataFrame, k: int,
     return order.mapInArrow(run, "a binary, b binary")
 
 
-def joined(roots: DataFrame, links: DataFrame) -> DataFrame:
-    """``roots`` (key, root) after linking the components (a, b)."""
-    moved = components(links)
-    return cut_lineage(roots.join(moved, roots["root"] == moved["node"], "left").select("key", F.coalesce(moved["root"], roots["root"]).alias("root")))
+def joined(roots: DataFrame, links: DataFrame) -> tuple[DataFrame, str]:
+    """``roots`` (key, root) after linking the components (a, b), and their folder."""
+    moved, folder = kept_components(links)
+    after = roots.join(moved, roots["root"] == moved["node"], "left").select("key", F.coalesce(moved["root"], roots["root"]).alias("root"))
+    out = written(after, "roots")
+    delete_shared(roots.sparkSession, folder)
+    return out
 
 
 def unfinished(members: DataFrame, roots: DataFrame) -> DataFrame:
@@ -386,7 +386,7 @@ def link_classes(docs: DataFrame, classes: DataFrame, k: int, percent: int, band
     members = cut_lineage(bucket_members(classes, bands).withColumn("root", F.col("key")))
     if members.isEmpty():
         return None
-    chosen = candidates(members, classes, docs)
+    chosen, *scratch = candidates(members, classes, docs)
     roots = chosen.select("key", F.col("key").alias("root"))
     for early in (True, False):
         pairs, pivots = star_pairs(members.where(F.col("band") < FIRST_BANDS) if early else members, percent, bits_apart)
@@ -394,18 +394,22 @@ def link_classes(docs: DataFrame, classes: DataFrame, k: int, percent: int, band
         ends = links.join(roots.select(F.col("key").alias("a"), F.col("root").alias("ra")), "a").join(
             roots.select(F.col("key").alias("b"), F.col("root").alias("rb")), "b"
         )
-        roots = joined(roots, ends.select(F.col("ra").alias("a"), F.col("rb").alias("b")))
+        roots, folder = joined(roots, ends.select(F.col("ra").alias("a"), F.col("rb").alias("b")))
+        scratch.append(folder)
         # whoever was a pivot has met its whole bucket
         members = unfinished(members.join(pivots, ["bucket", "key"], "left_anti"), roots)
-    pairs = cut_lineage(prune_blocks(in_blocks(members), chosen, percent, miss))
-    return joined(roots, verify_blocks(pairs, roots, chosen, k, percent))
+    pairs, folder = written(prune_blocks(in_blocks(members), chosen, percent, miss), "pairs")
+    roots, _ = joined(roots, verify_blocks(pairs, roots, chosen, k, percent))
+    for uri in (*scratch, folder):
+        delete_shared(docs.sparkSession, uri)
+    return roots
 
 
 def with_components(docs: DataFrame, k: int, percent: int, miss: float) -> DataFrame:
     """(doc_id, row, n_shingles, root, component_id) of each row of ``docs``;
     ``root`` names the component and is null where there is no shingle."""
     bands = bands_for(percent / 100, miss)
-    base = cut_lineage(describe(docs, k, bands * ROWS))
+    base, _ = written(describe(docs, k, bands * ROWS), "shingles")
     classes = cut_lineage(base.where("key IS NOT NULL").dropDuplicates(["key"]).select(*SIDE, "doc_id", "row", "sig"))
     roots = link_classes(docs, classes, k, percent, bands, miss)
     first = base.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("first"))
