@@ -152,3 +152,18 @@ def test_packing(docs, no_docs, pool):
         groups[r["step_group"], r["tier"]] += r["length"]
     assert max(groups.values()) <= 1 << 15
     assert packing.pack_documents(no_docs).collect() == []
+
+
+def test_ascii_words_are_read_as_they_stand(monkeypatch):
+    """Letters of ASCII need no byte table; ids equal the tokenizer's own."""
+    from segstream.llm import tokens
+
+    text = "plain Words with-marks, (x) Don't stop!!! café naïve 12 a1 \x1cz ZZtop q."
+    for file in ("byte_bpe_50k.json", "word_bpe_49k.json"):
+        e = tokens.Encoder(file)
+        ids = e.tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(e.packed([text])[0], e.dtype).tolist() == ids
+        monkeypatch.setattr(tokens, "LAST_LATIN", "")
+        assert e.word("Words") == ("Words" if e.keep_space else "words") and e.word("é") is None
+        monkeypatch.undo()
+    assert tokens.Encoder("byte_bpe_50k.json").word(" word") == "Ġword"
