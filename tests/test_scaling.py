@@ -194,6 +194,25 @@ def test_batch_ids_keep_few_rows_beside_the_events(spark, monkeypatch):
     assert sum(kept) < 2000
 
 
+@pytest.mark.parametrize("budget", [10, 20, 33, 100])
+def test_batch_ids_of_short_batches_keep_few_rows_beside_the_events(spark, monkeypatch, budget):
+    """Also where most events begin a batch, a stride has a few doors only."""
+    kept, keep = [], batches._Scratch.keep
+
+    def counted(self, df):
+        out = keep(self, df)
+        kept.append(out[0].count())
+        return out
+
+    monkeypatch.setattr(batches._Scratch, "keep", counted)
+    df = spark.range(60_000).select("id", (F.col("id") % 3).alias("segment_id"), (8 + F.col("id") % 29).cast("long").alias("len"))
+    ev = assign_offsets(df, order_by="id").cache()
+    start = {0: 0, 1: 0, 2: 0}
+    got = {(r["segment_id"], r["offset"]): r["batch"] for r in batch_ids(ev, start, budget).collect()}
+    assert got == walked([(r["segment_id"], r["offset"]) for r in ev.collect()], start, budget // 3)
+    assert sum(kept) < 600
+
+
 def test_load_stream_equals_load_report_and_scales(spark, root, scratch):
     from segstream.streaming import drain
     from segstream.streaming.load import autoscale_stream, load_stream
