@@ -44,6 +44,7 @@ def _default_blocks(df: DataFrame) -> int:
 
 #: A value (or tuple prefix) that holds this many blocks' rows is split by the next column.
 HEAVY = 2
+ENDED = -1.0  #: image of a string behind its last byte; that of a null is lower
 CHUNK_BYTES = 6  # bytes of a string in one image: 48 bits are exact in a double
 
 
@@ -57,7 +58,7 @@ def _images(df: DataFrame, col: str) -> Iterator[Column]:
         while True:  # the next bytes, in byte order; -1 behind the last one
             part = F.substring(raw, at, CHUNK_BYTES)
             number = F.conv(F.rpad(F.hex(part), 2 * CHUNK_BYTES, "0"), 16, 10).cast("double") * 8 + F.length(part)
-            yield F.when(c.isNull(), low).when(F.length(part) > 0, number).otherwise(F.lit(-1.0))
+            yield F.when(c.isNull(), low).when(F.length(part) > 0, number).otherwise(F.lit(ENDED))
             at += CHUNK_BYTES
     if kind in ("timestamp", "timestamp_ntz", "date"):
         c = F.unix_micros(c.cast("timestamp"))
@@ -86,10 +87,13 @@ def _levels(df: DataFrame, cols: Sequence[str]) -> Iterator[tuple[Column, Column
 
 def _split(cuts: list[float], share: int) -> tuple[list[float], dict[int, int]]:
     """Block borders from quantiles, and the blocks that hold one value alone
-    with as many blocks' rows as it takes quantiles."""
+    with as many blocks' rows as it takes quantiles; with all if nulls or ended
+    strings take all quantiles, whose next images tell nothing and take nothing."""
     borders, heavy = [], {}
     for value in sorted({float(c) for c in cuts if c is not None}):
         n = sum(1 for c in cuts if c == value)
+        if n == len(cuts) > 1 and value <= ENDED:
+            n = share
         if not borders or borders[-1] < value:
             borders.append(value)
         if n >= HEAVY and share > 1:
